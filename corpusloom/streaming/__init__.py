@@ -1,0 +1 @@
+"""Every input of this library is a finite corpus, so there is no streaming operator here."""
