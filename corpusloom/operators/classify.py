@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.kernel import fourier_udf
 from corpusloom.operators.evaluate import confusion_metrics, minmax_normalize, roc_curve
 from corpusloom.operators.ranking import with_hash_rank
+from corpusloom.operators.storage import settle_for_fits
 from corpusloom.operators.review import join_features_labels, review_batch
 
 ID = "paper_number"
@@ -119,7 +120,7 @@ def svm_grid_search(
     """Cross-validated F1 of every grid entry (one row per entry and fold) and the best entry refitted on all rows."""
     spark = train.sparkSession
     grid = FULL_GRID if grid is None else grid
-    rows = stratified_folds(train.select(ID, "features", "label"), folds, seed).persist()
+    rows = settle_for_fits(stratified_folds(train.select(ID, "features", "label"), folds, seed))
     dim = feature_width(rows)
     compacted = compact(rows, rows.count())
 
@@ -131,7 +132,7 @@ def svm_grid_search(
     for entry in grid:
         key = (entry["kernel"], entry.get("gamma"))
         if key not in inputs:
-            inputs[key] = mapped(entry).persist()
+            inputs[key] = compacted if key[0] == "linear" else settle_for_fits(mapped(entry))
 
     def one(cell):
         entry, held = cell

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators.ranking import top_n_per_group
 from corpusloom.operators.sampling import shuffle_subset
+from corpusloom.operators.storage import settle_for_fits
 from corpusloom.operators.text import cluster_tokens, group_word_frequencies
 
 
@@ -26,8 +27,9 @@ class MixtureFit:
 
 def reduce_dimensions(df: DataFrame, dims: int, features: str = "features") -> DataFrame:
     """Principal components: a full covariance per mixture component needs a narrow input."""
-    model = PCA(k=dims, inputCol=features, outputCol="_pca").fit(df)
-    return model.transform(df).drop(features).withColumnRenamed("_pca", features)
+    rows = settle_for_fits(df)
+    model = PCA(k=dims, inputCol=features, outputCol="_pca").fit(rows)
+    return model.transform(rows).drop(features).withColumnRenamed("_pca", features)
 
 
 def bic_aic(log_likelihood: float, n: int, k: int, d: int) -> tuple[float, float]:
@@ -66,7 +68,7 @@ def gmm_sweep(
 ) -> DataFrame:
     """BIC and AIC for every k on a random sample of the documents."""
     spark = df.sparkSession
-    rows = shuffle_subset(df.select(id_col, "features"), sample, seed, id_col).persist()
+    rows = settle_for_fits(shuffle_subset(df.select(id_col, "features"), sample, seed, id_col))
     found = []
     for k in ks:
         fit = gmm_fit_predict(rows, k, seed, max_iter, id_col)

@@ -27,6 +27,11 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def settle_for_fits(df: DataFrame) -> DataFrame:
+    """Rows that iterative fits read again and again: settled, so every fit plans over a plain scan, and cached."""
+    return settle(df).persist()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators.features import Vocabulary
 from corpusloom.operators.ranking import hash_order, top_n_per_group
+from corpusloom.operators.storage import settle_for_fits
 
 
 def lda_fit(
@@ -38,7 +39,7 @@ def lda_grid_search(
     """Cross-validated log likelihood of every (k, decay), the refitted best model and its parameters."""
     spark = df.sparkSession
     fold = F.pmod(F.conv(F.substring(hash_order(seed, F.col(id_col)), 1, 8), 16, 10).cast("bigint"), F.lit(folds))
-    rows = df.select(id_col, "features", fold.alias("_fold")).persist()
+    rows = settle_for_fits(df.select(id_col, "features", fold.alias("_fold")))
 
     def one(cell):
         k, decay, held = cell
@@ -71,7 +72,7 @@ def lda_sweep(
 ) -> DataFrame:
     """Perplexity and log likelihood for every k; the projections go to `path`, one partition per k."""
     spark = df.sparkSession
-    rows = df.select(id_col, "features").persist()
+    rows = settle_for_fits(df.select(id_col, "features"))
     found = []
     for k in ks:
         model = lda_fit(rows, k, learning_decay, max_iter, seed)

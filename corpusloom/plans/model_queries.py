@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector
 
 from corpusloom.operators import classify, clusters, curves, features, review, sampling, topics
-from corpusloom.operators.storage import scratch_path
+from corpusloom.operators.storage import scratch_path, settle_for_fits
 from corpusloom.plans import inputs
 from corpusloom.plans.registry import query
 
@@ -14,9 +14,9 @@ GRID = [{"kernel": "linear", "C": 0.1}, {"kernel": "linear", "C": 1.0}, {"kernel
 ITERATIONS = 20
 
 
-def tfidf(spark, sf_dir):
+def tfidf(spark, sf_dir, max_features=1500):
     seen = inputs.vector_input(spark, sf_dir)
-    vocab = features.vocabulary(seen, max_features=1500)
+    vocab = features.vocabulary(seen, max_features=max_features)
     return features.tfidf_features(seen, vocab).select("paper_number", "features")
 
 
@@ -36,14 +36,14 @@ def _labelled(spark, sf_dir):
 
 @query("svm_fit_linear")
 def svm_fit_linear(spark, sf_dir):
-    train = _labelled(spark, sf_dir).persist()
+    train = settle_for_fits(_labelled(spark, sf_dir))
     model = classify.svm_fit(train, C=1.0, max_iter=ITERATIONS)
     return classify.svm_score(model, train, ["paper_number", "label"])
 
 
 @query("svm_fit_rbf")
 def svm_fit_rbf(spark, sf_dir):
-    train = _labelled(spark, sf_dir).persist()
+    train = settle_for_fits(_labelled(spark, sf_dir))
     model = classify.svm_fit(train, C=1.0, kernel="rbf", gamma=1.0, max_iter=ITERATIONS)
     return classify.svm_score(model, train, ["paper_number", "label"])
 
@@ -116,7 +116,8 @@ def lda_sweep(spark, sf_dir):
 
 @query("gmm_fit_predict")
 def gmm_fit_predict(spark, sf_dir):
-    return clusters.gmm_fit_predict(vectors(spark, sf_dir), k=5, max_iter=20).clusters
+    reduced = clusters.reduce_dimensions(tfidf(spark, sf_dir, 300), 10)
+    return clusters.gmm_fit_predict(reduced, k=15, max_iter=20).clusters
 
 
 @query("gmm_bic_aic")
@@ -126,5 +127,4 @@ def gmm_bic_aic(spark, sf_dir):
 
 @query("gmm_sweep")
 def gmm_sweep(spark, sf_dir):
-    reduced = clusters.reduce_dimensions(tfidf(spark, sf_dir), 10)
-    return clusters.gmm_sweep(reduced, [2, 3, 4], max_iter=20)
+    return clusters.gmm_sweep(vectors(spark, sf_dir), [2, 3, 4, 5], max_iter=20)
