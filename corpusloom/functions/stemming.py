@@ -32,20 +32,31 @@ STEP3 = {
     "tional": "tion", "ational": "ate", "alize": "al", "icate": "ic", "iciti": "ic", "ical": "ic", "ful": "",
     "ness": "", "ative": "",
 }
-STEP4 = "al ance ence er ic able ible ant ement ment ent ism ate iti ous ive ize ion".split()
-
-
-def _ending(suffixes) -> re.Pattern:
-    # Leftmost match against an end anchor, so the longest suffix wins.
-    return re.compile("(?:" + "|".join(suffixes) + ")$")
-
+STEP4 = set("al ance ence er ic able ible ant ement ment ent ism ate iti ous ive ize ion".split())
+PAST = {"eedly", "eed", "ingly", "edly", "ing", "ed"}
+DOUBLES = ("bb", "dd", "ff", "gg", "mm", "nn", "pp", "rr", "tt")
 
 _REGION = re.compile(r"[^aeiouy]*[aeiouy]+[^aeiouy]")
 _LONG_PREFIX = re.compile(r"gener|commun|arsen")
 _VOWEL = re.compile(r"[aeiouy]")
 _SHORT_END = re.compile(r"(?:[^aeiouy][aeiouy][^aeiouywxY]|^[aeiouy][^aeiouy])$")
-_PAST = _ending(["eedly", "eed", "ingly", "edly", "ing", "ed"])
-_END2, _END3, _END4 = _ending(STEP2), _ending(STEP3), _ending(STEP4)
+_INNER_Y = re.compile(r"([aeiouy])y")
+
+
+def _longest_first(suffixes) -> tuple[str, ...]:
+    return tuple(sorted(suffixes, key=len, reverse=True))
+
+
+_ENDS1, _ENDS2, _ENDS3, _ENDS4 = (_longest_first(s) for s in (PAST, STEP2, STEP3, STEP4))
+
+
+def _suffix(w: str, suffixes: tuple[str, ...]) -> str:
+    """The longest of the suffixes that the word ends in, or an empty string."""
+    if w.endswith(suffixes):
+        for s in suffixes:
+            if w.endswith(s):
+                return s
+    return ""
 
 
 def _region_start(word: str, start: int) -> int:
@@ -58,7 +69,9 @@ def stem(word: str) -> str:
         return word
     if word in IRREGULAR:
         return IRREGULAR[word]
-    w = re.sub(r"([aeiouy])y", r"\1Y", re.sub(r"^y", "Y", word))
+    w = word
+    if "y" in w:
+        w = _INNER_Y.sub(r"\1Y", "Y" + w[1:] if w[0] == "y" else w)
     prefix = _LONG_PREFIX.match(w)
     r1 = prefix.end() if prefix else _region_start(w, 0)
     r2 = _region_start(w, r1)
@@ -89,17 +102,17 @@ def _plural(w: str) -> str:
 
 
 def _past_tense(w: str, r1: int) -> str:
-    hit = _PAST.search(w)
-    if not hit:
+    suffix = _suffix(w, _ENDS1)
+    if not suffix:
         return w
-    base = w[: hit.start()]
-    if hit.group().startswith("eed"):
+    base = w[: -len(suffix)]
+    if suffix.startswith("eed"):
         return base + "ee" if len(base) >= r1 else w
     if not _VOWEL.search(base):
         return w
     if base.endswith(("at", "bl", "iz")):
         return base + "e"
-    if re.search(r"(bb|dd|ff|gg|mm|nn|pp|rr|tt)$", base):
+    if base.endswith(DOUBLES):
         return base[:-1]
     if len(base) <= r1 and _SHORT_END.search(base):
         return base + "e"
@@ -107,18 +120,20 @@ def _past_tense(w: str, r1: int) -> str:
 
 
 def _derivation(w: str, r1: int, r2: int) -> str:
-    hit = _END2.search(w)
-    if hit and hit.start() >= r1:
-        base, suffix = w[: hit.start()], hit.group()
+    suffix = _suffix(w, _ENDS2)
+    base = w[: len(w) - len(suffix)]
+    if suffix and len(base) >= r1:
         allowed = {"li": base[-1:] in tuple("cdeghkmnrt"), "ogi": base.endswith("l")}
         if allowed.get(suffix, True):
             w = base + STEP2[suffix]
-    hit = _END3.search(w)
-    if hit and hit.start() >= (r2 if hit.group() == "ative" else r1):
-        w = w[: hit.start()] + STEP3[hit.group()]
-    hit = _END4.search(w)
-    if hit and hit.start() >= r2 and (hit.group() != "ion" or w[hit.start() - 1 : hit.start()] in ("s", "t")):
-        w = w[: hit.start()]
+    suffix = _suffix(w, _ENDS3)
+    base = w[: len(w) - len(suffix)]
+    if suffix and len(base) >= (r2 if suffix == "ative" else r1):
+        w = base + STEP3[suffix]
+    suffix = _suffix(w, _ENDS4)
+    base = w[: len(w) - len(suffix)]
+    if suffix and len(base) >= r2 and (suffix != "ion" or base.endswith(("s", "t"))):
+        w = base
     return w
 
 

@@ -19,7 +19,7 @@ from corpusloom.operators.storage import settle_for_fits
 from corpusloom.operators.review import join_features_labels, review_batch
 
 ID = "paper_number"
-ROWS_PER_PARTITION = 20_000
+ROWS_PER_PARTITION = 1_000
 
 # The full search grid.
 FULL_C = [0.001, 0.01, 0.1, 1, 10, 100, 1000]
@@ -69,7 +69,8 @@ def compact(df: DataFrame, rows: int) -> DataFrame:
     return df.coalesce(max(1, math.ceil(rows / ROWS_PER_PARTITION)))
 
 
-def _fit(train: DataFrame, C: float, weight_mode: str | None, max_iter: int) -> LinearSVCModel:
+def fit_linear(train: DataFrame, C: float, weight_mode: str | None, max_iter: int) -> LinearSVCModel:
+    """Fit on rows that are cached already."""
     weights = class_weights(train, weight_mode)
     positive = F.lit(weights.get(1, 1.0))
     weighted = train.select(
@@ -93,9 +94,11 @@ def svm_fit(
     gamma: float | None = None, n_features: int = 500, seed: int = 0, max_iter: int = 100,
 ) -> SvmModel:
     """Soft-margin SVM on (features, label 0/1); C has its usual meaning, hence regParam = 1 / (C * sum of weights)."""
-    dim = feature_width(train) if kernel == "rbf" else None
+    rows = settle_for_fits(train.select("features", "label"))
+    dim = feature_width(rows) if kernel == "rbf" else None
     model = SvmModel(None, kernel, C, gamma, n_features, dim, seed)
-    model.svm = _fit(model.prepare(train), C, weight_mode, max_iter)
+    model.svm = fit_linear(model.prepare(rows), C, weight_mode, max_iter)
+    rows.unpersist()
     return model
 
 
@@ -137,7 +140,7 @@ def svm_grid_search(
     def one(cell):
         entry, held = cell
         data = inputs[entry["kernel"], entry.get("gamma")]
-        svm = _fit(data.where(F.col("fold") != held), entry["C"], weight_mode, max_iter)
+        svm = fit_linear(data.where(F.col("fold") != held), entry["C"], weight_mode, max_iter)
         scored = svm.transform(data.where(F.col("fold") == held))
         return confusion_metrics(scored).first().f1
 
@@ -152,7 +155,7 @@ def svm_grid_search(
     best = grid[means.index(max(means))]
     data = inputs[best["kernel"], best.get("gamma")]
     model = SvmModel(None, best["kernel"], best["C"], best.get("gamma"), n_features, dim, seed)
-    model.svm = _fit(data, best["C"], weight_mode, max_iter)
+    model.svm = fit_linear(data, best["C"], weight_mode, max_iter)
     for cached in [*inputs.values(), rows]:
         cached.unpersist()
     results = spark.createDataFrame(found, "kernel string, C double, gamma double, fold int, f1 double")

@@ -71,7 +71,9 @@ def incremental_samples(
     """For k = 1..steps and every repeat, floor(R / steps) * k random rows out of the R rows outside the dev set."""
     shared = _dev_rows(_cells(labels, F.sequence(F.lit(1), F.lit(steps)), 1), per_class, seed, ID)
     sizes = F.sequence(F.lit(1), F.lit(steps))
-    pool = _cells(labels, sizes, 1).drop("repeat").join(shared.select("size_idx", ID), ["size_idx", ID], "left_anti")
+    # The dev sets hold at most steps * per_class rows per class, so the difference needs no shuffle.
+    dev = F.broadcast(shared.select("size_idx", ID))
+    pool = _cells(labels, sizes, 1).drop("repeat").join(dev, ["size_idx", ID], "left_anti")
     rest = pool.groupBy("size_idx").agg((F.floor(F.count("*") / steps) * F.col("size_idx")).alias("_wanted"))
     drawn = pool.join(F.broadcast(rest), "size_idx")  # one row per step
     drawn = drawn.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))

@@ -21,6 +21,15 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give every core work when a small input arrives in fewer pieces than there are cores.
+
+    A large scan already has more tasks than cores and passes through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write the rows once and cut the lineage, so later jobs all see the very same partitions."""
     shared_folder(df.sparkSession)

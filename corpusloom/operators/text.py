@@ -16,6 +16,7 @@ from corpusloom.functions.words import (
     token_array,
 )
 from corpusloom.operators.ranking import top_n_per_group
+from corpusloom.operators.storage import settle
 
 LITERAL_WORDS = 5_000
 
@@ -66,9 +67,9 @@ def word_count(df: DataFrame, col: str, out: str = "n_words") -> DataFrame:
 def word_histogram(df: DataFrame, col: str) -> DataFrame:
     """Histogram of words per document with automatic bins: the narrower of the Freedman-Diaconis and Sturges widths.
 
-    Documents are reduced to (word count, documents) first, so quartiles and bins work on that small table.
+    Documents are reduced to (word count, documents) in one pass; quartiles and bins work on that small table.
     """
-    sizes = word_count(df, col).groupBy("n_words").agg(F.count("*").alias("docs"))
+    sizes = settle(word_count(df, col).groupBy("n_words").agg(F.count("*").alias("docs")))
     stats = sizes.agg(
         F.sum("docs").alias("n"),
         F.min("n_words").alias("lo"),

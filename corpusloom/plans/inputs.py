@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.operators.storage import spread
 from corpusloom.operators.text import clean_tokens, tokenize, vectoriser_tokens
 from corpusloom.sources.articles import flatten_articles
 from corpusloom.sources.labels import label_sheet
@@ -15,7 +16,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def corpus(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("paper_number"), "text")
+    return spread(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("paper_number"), "text"), "paper_number")
 
 
 def metadata(spark, sf_dir) -> DataFrame:
@@ -30,7 +31,7 @@ def metadata(spark, sf_dir) -> DataFrame:
 
 
 def labels(spark, sf_dir) -> DataFrame:
-    return label_sheet(table(spark, sf_dir, "labels"), "doc_id", "quality")
+    return spread(label_sheet(table(spark, sf_dir, "labels"), "doc_id", "quality"), "paper_number")
 
 
 def tokens(spark, sf_dir) -> DataFrame:
@@ -49,7 +50,9 @@ def vector_input(spark, sf_dir) -> DataFrame:
 def scores(spark, sf_dir) -> DataFrame:
     """A deterministic score with many ties, in place of a fitted model's."""
     score = (F.length("text") % 97 - 48).cast("double")
-    return corpus(spark, sf_dir).select("paper_number", score.alias("score"), (score > 0).cast("int").alias("prediction"))
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("paper_number"), score.alias("score"), (score > 0).cast("int").alias("prediction")
+    )
 
 
 def clusters(spark, sf_dir) -> DataFrame:

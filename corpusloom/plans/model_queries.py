@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector
 
 from corpusloom.operators import classify, clusters, curves, features, review, sampling, topics
-from corpusloom.operators.storage import scratch_path, settle_for_fits
+from corpusloom.operators.storage import scratch_path, settle
 from corpusloom.plans import inputs
 from corpusloom.plans.registry import query
 
@@ -36,14 +36,14 @@ def _labelled(spark, sf_dir):
 
 @query("svm_fit_linear")
 def svm_fit_linear(spark, sf_dir):
-    train = settle_for_fits(_labelled(spark, sf_dir))
+    train = settle(_labelled(spark, sf_dir))
     model = classify.svm_fit(train, C=1.0, max_iter=ITERATIONS)
     return classify.svm_score(model, train, ["paper_number", "label"])
 
 
 @query("svm_fit_rbf")
 def svm_fit_rbf(spark, sf_dir):
-    train = settle_for_fits(_labelled(spark, sf_dir))
+    train = settle(_labelled(spark, sf_dir))
     model = classify.svm_fit(train, C=1.0, kernel="rbf", gamma=1.0, max_iter=ITERATIONS)
     return classify.svm_score(model, train, ["paper_number", "label"])
 
