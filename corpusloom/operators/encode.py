@@ -67,9 +67,10 @@ def encode_token_ids(
         lookup = token_id_udf([r.term for r in entries], [r.id for r in entries], unknown)
         return df.withColumn(out, _padded(lookup(col), max_len))
     tokens = df.select(id_col, F.posexplode(col).alias("_pos", "term")).withColumn("_salt", salt_of(id_col, salts))
-    terms = vocab.select("term", "id").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    terms = vocab.select("term", F.col("id").alias("_id"), every_salt.alias("_salt"))
     found = tokens.join(terms, ["term", "_salt"], "left")
-    pairs = F.struct("_pos", F.coalesce("id", F.lit(unknown)).cast("int").alias("id"))
+    pairs = F.struct("_pos", F.coalesce("_id", F.lit(unknown)).cast("int").alias("id"))
     ids = F.array_sort(F.collect_list(pairs))["id"]  # at most max_len tokens per document
     return df.join(found.groupBy(id_col).agg(_padded(ids, max_len).alias(out)), id_col)
 

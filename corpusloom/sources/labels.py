@@ -9,13 +9,19 @@ from corpusloom.operators.ranking import with_dense_index
 
 SHEET_SCHEMA = "paper_id string, title string, authors string, paper_number bigint, label int"
 
+# Quote every value, double embedded quotes and keep blanks, so that any title survives the round trip.
+CSV_OPTIONS = {
+    "header": True, "quoteAll": True, "escape": '"', "emptyValue": "", "nullValue": "\\N", "lineSep": "\n",
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
 
 def read_labels(spark: SparkSession, path: str) -> DataFrame:
     """Labels from a CSV sheet with a header row, or from a Parquet table with the same two columns."""
     if path.endswith(".parquet"):
         sheet = spark.read.parquet(path)
     else:
-        sheet = spark.read.schema(SHEET_SCHEMA).csv(path, header=True, enforceSchema=False)
+        sheet = spark.read.schema(SHEET_SCHEMA).options(multiLine=True, **CSV_OPTIONS).csv(path)
     return label_sheet(sheet)
 
 

@@ -5,20 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.sources.labels import SHEET_SCHEMA
+from corpusloom.sources.labels import CSV_OPTIONS, SHEET_SCHEMA
 
 SHEET_COLUMNS = ["paper_id", "title", "authors", "paper_number", "label"]
-# Quote every value, double embedded quotes and keep blanks, so that any title survives the round trip.
-_CSV = {
-    "header": True, "quoteAll": True, "escape": '"', "emptyValue": "", "nullValue": "\\N", "lineSep": "\n",
-    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
-}
-
-
 def write_csv(df: DataFrame, path: str) -> DataFrame:
     """A sheet for people; titles may hold line breaks, so a file is read as a whole."""
-    df.write.options(**_CSV).csv(path)
-    return df.sparkSession.read.schema(df.schema).options(multiLine=True, **_CSV).csv(path)
+    df.write.options(**CSV_OPTIONS).csv(path)
+    return df.sparkSession.read.schema(df.schema).options(multiLine=True, **CSV_OPTIONS).csv(path)
 
 
 def first_n_articles(metadata: DataFrame, n: int = 200) -> DataFrame:
