@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.kernel import fourier_udf
 from corpusloom.operators.evaluate import confusion_metrics, minmax_normalize, roc_curve
 from corpusloom.operators.ranking import with_hash_rank
-from corpusloom.operators.storage import settle_for_fits
+from corpusloom.operators.storage import settle, settle_for_fits
 from corpusloom.operators.review import join_features_labels, review_batch
 
 ID = "paper_number"
@@ -179,6 +179,6 @@ def active_learning_round(
 ) -> tuple[DataFrame, DataFrame]:
     """Tune on the labels, score the whole corpus: (predictions, the next batch to label with its metadata)."""
     _, model = svm_grid_search(join_features_labels(features, labels), grid, folds, **options)
-    predictions = svm_score(model, features)
+    predictions = settle(svm_score(model, features))  # ranking reads the scores several times
     picked = review_batch(predictions, labels, **(batch or {}))
     return predictions, metadata.join(picked, ID)

@@ -40,15 +40,18 @@ def bic_aic(log_likelihood: float, n: int, k: int, d: int) -> tuple[float, float
 
 def gmm_fit_predict(
     df: DataFrame, k: int = 15, seed: int = 0, max_iter: int = 100, id_col: str = "paper_number",
-    features: str = "features",
+    features: str = "features", keep: list[str] | None = None,
 ) -> MixtureFit:
-    """Fit a mixture and give every row its most likely component."""
+    """Fit a mixture and give every row its most likely component.
+
+    Columns in `keep`, such as the tokens, stay next to the cluster and save a join later.
+    """
     n = df.count()
     model = GaussianMixture(k=k, seed=seed, maxIter=max_iter, tol=1e-3, featuresCol=features).fit(df)
     likelihood = model.summary.logLikelihood
     d = int(model.gaussians[0].mean.size)
     bic, aic = bic_aic(likelihood, n, k, d)
-    clusters = model.transform(df).select(id_col, F.col("prediction").alias("cluster"))
+    clusters = model.transform(df).select(id_col, F.col("prediction").alias("cluster"), *(keep or []))
     return MixtureFit(model, clusters, likelihood, bic, aic)
 
 

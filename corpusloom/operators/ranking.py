@@ -17,7 +17,6 @@ from corpusloom.operators.storage import settle
 _SLOT_BITS = 33  # monotonically_increasing_id keeps the partition above bit 33 and the row number below
 _BUCKET_DIGITS = 3
 BUCKETS = 16**_BUCKET_DIGITS
-TOP_K_LIMIT = 100_000
 
 
 def hash_order(seed, id_col: Column) -> Column:
@@ -74,11 +73,20 @@ def with_hash_rank(df: DataFrame, seed, id_col: str, out: str, by: list[str] | N
 
 
 def sample_n(df: DataFrame, n: int, seed, id_col: str) -> DataFrame:
-    """Exactly n rows (all, if fewer) in hash order, without replacement."""
-    order = [hash_order(seed, F.col(id_col)), F.col(id_col)]
-    if n <= TOP_K_LIMIT:
-        return df.orderBy(*order).limit(n)
-    return with_hash_rank(df, seed, id_col, "_rank").where(F.col("_rank") < n).drop("_rank")
+    """Exactly n rows (all, if fewer) in hash order, without replacement.
+
+    Bucket sizes, at most BUCKETS numbers, tell which buckets belong to the sample as a whole. Only the bucket that
+    straddles the end is sorted, so neither a small nor a very large sample passes through one task.
+    """
+    keyed = df.withColumn("_h", hash_order(seed, F.col(id_col)))
+    keyed = keyed.withColumn("_bucket", F.substring("_h", 1, _BUCKET_DIGITS))
+    before = 0
+    for bucket, size in sorted(keyed.groupBy("_bucket").count().collect()):
+        if before + size >= n:
+            edge = keyed.where(F.col("_bucket") == bucket).orderBy("_h", id_col).limit(n - before)
+            return keyed.where(F.col("_bucket") < bucket).unionByName(edge).select(*df.columns)
+        before += size
+    return df
 
 
 def sample_per_cell(df: DataFrame, cell: list[str], size: str, seed: Column, id_col: str) -> DataFrame:
@@ -91,7 +99,7 @@ def sample_per_cell(df: DataFrame, cell: list[str], size: str, seed: Column, id_
     keyed = keyed.withColumn("_bucket", F.substring("_h", 1, _BUCKET_DIGITS))
     sizes = keyed.groupBy(*cell, "_bucket").agg(F.count("*").alias("_n"), F.first(size).alias("_size"))
     upto = Window.partitionBy(*cell).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    cuts = (
+    cuts = settle(
         sizes.withColumn("_upto", F.sum("_n").over(upto))
         .where((F.col("_upto") >= F.col("_size")) & (F.col("_upto") - F.col("_n") < F.col("_size")))
         .select(*cell, F.col("_bucket").alias("_cut"), (F.col("_size") - F.col("_upto") + F.col("_n")).alias("_left"))

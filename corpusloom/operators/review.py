@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.operators.ranking import with_dense_index
+from corpusloom.operators.storage import broadcast_if_small
 
 
 def join_features_labels(features: DataFrame, labels: DataFrame, id_col: str = "paper_number") -> DataFrame:
     """Labelled feature rows; the key keeps features and labels together."""
-    return features.join(labels, id_col)
+    return features.join(broadcast_if_small(labels), id_col)
 
 
 def join_predictions_metadata(metadata: DataFrame, predictions: DataFrame, id_col: str = "paper_number") -> DataFrame:
@@ -18,7 +19,7 @@ def join_predictions_metadata(metadata: DataFrame, predictions: DataFrame, id_co
 
 
 def anti_join_labeled(scores: DataFrame, labeled: DataFrame, id_col: str = "paper_number") -> DataFrame:
-    return scores.join(labeled.select(id_col), id_col, "left_anti")
+    return scores.join(broadcast_if_small(labeled.select(id_col)), id_col, "left_anti")
 
 
 def rank_by_score(scores: DataFrame, id_col: str = "paper_number", score: str = "score") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.operators.ranking import hash_order, sample_n, sample_per_cell, top_n_per_group, with_hash_rank
+from corpusloom.operators.storage import broadcast_if_small, settle
 
 ID = "paper_number"
 
@@ -16,7 +17,7 @@ def shuffle_subset(df: DataFrame, n: int = 10_000, seed="subset", id_col: str =
 
 
 def except_labeled(corpus: DataFrame, labeled: DataFrame, id_col: str = ID) -> DataFrame:
-    return corpus.join(labeled.select(id_col), id_col, "left_anti")
+    return corpus.join(broadcast_if_small(labeled.select(id_col)), id_col, "left_anti")
 
 
 def holdout_sample(corpus: DataFrame, labeled: DataFrame, n: int = 200, seed="holdout", id_col: str = ID) -> DataFrame:
@@ -53,7 +54,8 @@ def _cells(labels: DataFrame, steps, repeats: int) -> DataFrame:
 def _dev_rows(cells: DataFrame, per_class: int, seed: str, id_col: str) -> DataFrame:
     key = hash_order(F.concat_ws(":", F.lit(seed), F.lit("dev"), "size_idx", "repeat"), F.col(id_col))
     by = ["size_idx", "repeat", "label"]
-    return top_n_per_group(cells, by, [key, F.col(id_col)], per_class, "_rank").drop("_rank")
+    rows = top_n_per_group(cells, by, [key, F.col(id_col)], per_class, "_rank").drop("_rank")
+    return settle(rows)  # few rows by construction, read by several branches
 
 
 def curve_dev_sets(labels: DataFrame, steps: int, repeats: int, per_class: int, seed: str = "curve") -> DataFrame:

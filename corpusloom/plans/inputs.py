@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.operators.storage import spread
+from corpusloom.operators.storage import broadcast_if_small, spread
 from corpusloom.operators.text import clean_tokens, tokenize, vectoriser_tokens
 from corpusloom.sources.articles import flatten_articles
 from corpusloom.sources.labels import label_sheet
@@ -38,13 +38,17 @@ def tokens(spark, sf_dir) -> DataFrame:
     return tokenize(corpus(spark, sf_dir), "text").drop("text")
 
 
-def cleaned(spark, sf_dir) -> DataFrame:
-    return clean_tokens(corpus(spark, sf_dir), "text").drop("text")
+def cleaned(spark, sf_dir, only: DataFrame | None = None) -> DataFrame:
+    """Cleaned tokens, of the documents in `only` if given; those are picked before any text is touched."""
+    texts = corpus(spark, sf_dir)
+    if only is not None:
+        texts = texts.join(broadcast_if_small(only.select("paper_number")), "paper_number", "left_semi")
+    return clean_tokens(texts, "text").drop("text")
 
 
-def vector_input(spark, sf_dir) -> DataFrame:
+def vector_input(spark, sf_dir, only: DataFrame | None = None) -> DataFrame:
     """Cleaned tokens as a vectoriser sees them."""
-    return vectoriser_tokens(cleaned(spark, sf_dir))
+    return vectoriser_tokens(cleaned(spark, sf_dir, only))
 
 
 def scores(spark, sf_dir) -> DataFrame:

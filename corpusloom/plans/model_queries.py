@@ -14,10 +14,11 @@ GRID = [{"kernel": "linear", "C": 0.1}, {"kernel": "linear", "C": 1.0}, {"kernel
 ITERATIONS = 20
 
 
-def tfidf(spark, sf_dir, max_features=1500):
-    seen = inputs.vector_input(spark, sf_dir)
-    vocab = features.vocabulary(seen, max_features=max_features)
-    return features.tfidf_features(seen, vocab).select("paper_number", "features")
+def tfidf(spark, sf_dir, max_features=1500, only=None):
+    """TF-IDF vectors of the corpus. With `only`, just those documents are vectorised, under the corpus vocabulary."""
+    vocab = features.vocabulary(inputs.vector_input(spark, sf_dir), max_features=max_features)
+    rows = inputs.vector_input(spark, sf_dir, only)
+    return features.tfidf_features(rows, vocab).select("paper_number", "features")
 
 
 def counts(spark, sf_dir):
@@ -31,7 +32,8 @@ def vectors(spark, sf_dir):
 
 
 def _labelled(spark, sf_dir):
-    return review.join_features_labels(tfidf(spark, sf_dir), inputs.labels(spark, sf_dir))
+    labels = inputs.labels(spark, sf_dir)
+    return review.join_features_labels(tfidf(spark, sf_dir, only=labels), labels)
 
 
 @query("svm_fit_linear")
@@ -55,9 +57,8 @@ def svm_grid_search(spark, sf_dir):
 
 @query("svm_score_corpus")
 def svm_score_corpus(spark, sf_dir):
-    corpus = tfidf(spark, sf_dir)
-    train = review.join_features_labels(corpus, inputs.labels(spark, sf_dir))
-    return classify.svm_score(classify.svm_fit(train, C=1.0, max_iter=ITERATIONS), corpus)
+    model = classify.svm_fit(_labelled(spark, sf_dir), C=1.0, max_iter=ITERATIONS)
+    return classify.svm_score(model, tfidf(spark, sf_dir))
 
 
 @query("holdout_evaluation")
@@ -65,7 +66,7 @@ def holdout_evaluation(spark, sf_dir):
     labels = inputs.labels(spark, sf_dir)
     test = sampling.shuffle_subset(labels, 200, "test")
     train = sampling.except_labeled(labels, test)
-    return classify.holdout_evaluation(tfidf(spark, sf_dir), train, test, GRID[:2], folds=2, max_iter=ITERATIONS)[0]
+    return classify.holdout_evaluation(tfidf(spark, sf_dir, only=labels), train, test, GRID[:2], folds=2, max_iter=ITERATIONS)[0]
 
 
 @query("active_learning_round")
@@ -78,7 +79,7 @@ def _curve(spark, sf_dir, **options):
     labels = inputs.labels(spark, sf_dir)
     test = sampling.shuffle_subset(labels, 100, "test")
     train = sampling.except_labeled(labels, test)
-    return curves.learning_curve(tfidf(spark, sf_dir), train, test, per_class=40, max_iter=10, **options)[0]
+    return curves.learning_curve(tfidf(spark, sf_dir, only=labels), train, test, per_class=40, max_iter=10, **options)[0]
 
 
 @query("learning_curve")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.operators import encode, features, text
-from corpusloom.operators.ranking import with_dense_index
 from corpusloom.plans import inputs, sql
 from corpusloom.plans.registry import query
 
@@ -232,8 +231,8 @@ encoder AS (SELECT term, 3 + row_number() OVER (ORDER BY term) AS id FROM vocab)
 
 
 def _encoder(spark, sf_dir):
-    ranked = with_dense_index(_token_vocab(spark, sf_dir).select("term"), [F.col("term")], "_idx")
-    words = ranked.select("term", (F.col("_idx") + 4).cast("int").alias("id"))
+    vocab = features.vocabulary(inputs.tokens(spark, sf_dir), max_features=1500)
+    words = vocab.table(spark).select("term", (F.col("idx") + 4).alias("id"))
     markers = spark.createDataFrame([("[PAD]", 0), ("[UNK]", 1), ("[CLS]", 2), ("[SEP]", 3)], "term string, id int")
     return markers.unionByName(words)
 

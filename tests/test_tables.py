@@ -26,15 +26,17 @@ def test_dense_index_and_totals_match_a_sort(spark):
     assert {r.id: r.upto for r in got} == sums
 
 
-def test_hash_rank_sample_and_cells(spark, monkeypatch):
+def test_hash_rank_sample_and_cells(spark):
     df = spark.createDataFrame([(i, i % 2) for i in range(300)], "paper_number bigint, label int")
     ranks = sorted(r["rank"] for r in ranking.with_hash_rank(df, "s", "paper_number", "rank").collect())
     assert ranks == list(range(300))
     by = ranking.with_hash_rank(df, "s", "paper_number", "rank", ["label"])
     assert sorted((r.label, r["rank"]) for r in by.collect()) == [(c, i) for c in (0, 1) for i in range(150)]
-    few = {r.paper_number for r in ranking.sample_n(df, 40, "s", "paper_number").collect()}
-    monkeypatch.setattr(ranking, "TOP_K_LIMIT", 5)
-    assert {r.paper_number for r in ranking.sample_n(df, 40, "s", "paper_number").collect()} == few and len(few) == 40
+    first = {r.paper_number for r in by.where("false").unionByName(
+        ranking.with_hash_rank(df, "s", "paper_number", "rank").where("rank < 40")).collect()}
+    for n, want in ((40, first), (0, set()), (1000, set(range(300)))):
+        got = [r.paper_number for r in ranking.sample_n(df, n, "s", "paper_number").collect()]
+        assert len(got) == len(want) and set(got) == want
 
 
 def test_cell_samples_are_exact(spark):
