@@ -85,7 +85,7 @@ def article_metadata(spark, sf_dir):
     "FROM numbered WHERE paper_number = 42",
 )
 def article_lookup(spark, sf_dir):
-    return art.article_lookup(inputs.articles(spark, sf_dir), 42)
+    return art.article_lookup(inputs.nested_articles(spark, sf_dir), 42)
 
 
 @query("filter_has_abstract", _WITH_ARTICLES + "SELECT paper_id, abstract FROM articles WHERE abstract <> ''")

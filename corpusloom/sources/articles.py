@@ -34,6 +34,7 @@ def scan_articles(spark: SparkSession, path: str, one_per_file: bool = True) ->
     return (
         spark.read.schema(ARTICLE_SCHEMA)
         .option("multiLine", one_per_file)
+        .option("mode", "FAILFAST")  # a broken file is an error, not an article of nulls
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json")
         .json(path)
@@ -49,10 +50,15 @@ def body_text() -> Column:
     return F.concat(F.coalesce(F.array_join(F.col("body_text.text"), " "), F.lit("")), F.lit(" "), abstract_text())
 
 
-def author_names() -> Column:
-    """"First Last, First Last"; an article without body paragraphs reports no authors."""
+def all_authors() -> Column:
+    """"First Last, First Last"."""
     names = F.transform("metadata.authors", lambda a: F.concat_ws(" ", a["first"], a["last"]))
-    return F.when(F.size("body_text") > 0, F.array_join(names, ", ")).otherwise("")
+    return F.coalesce(F.array_join(names, ", "), F.lit(""))
+
+
+def author_names() -> Column:
+    """The authors as the article table has them: an article without body paragraphs reports none."""
+    return F.when(F.size("body_text") > 0, all_authors()).otherwise("")
 
 
 def flatten_articles(nested: DataFrame) -> DataFrame:
@@ -60,7 +66,7 @@ def flatten_articles(nested: DataFrame) -> DataFrame:
     return nested.select(
         "paper_id",
         F.coalesce("metadata.title", F.lit("")).alias("title"),
-        F.coalesce(author_names(), F.lit("")).alias("authors"),
+        author_names().alias("authors"),
         abstract_text().alias("abstract"),
         body_text().alias("body"),
     )
@@ -89,12 +95,14 @@ def article_metadata(articles: DataFrame) -> DataFrame:
     return with_dense_index(rows, [F.col("paper_id")], "paper_number").withColumn("label", F.lit(1))
 
 
-def article_lookup(articles: DataFrame, paper_number: int) -> DataFrame:
+def article_lookup(nested: DataFrame, paper_number: int) -> DataFrame:
     """Authors and abstract of one article, or its body where there is no abstract."""
-    keys = with_dense_index(articles.select("paper_id"), [F.col("paper_id")], "paper_number")
+    keys = with_dense_index(nested.select("paper_id"), [F.col("paper_id")], "paper_number")
     found = keys.where(F.col("paper_number") == paper_number)
-    text = F.coalesce(F.nullif("abstract", F.lit("")), F.col("body"))
-    return articles.join(found, "paper_id").select("paper_number", "paper_id", "authors", text.alias("text"))
+    text = F.when(abstract_text() != "", abstract_text()).otherwise(body_text())
+    return nested.join(F.broadcast(found), "paper_id").select(
+        "paper_number", "paper_id", all_authors().alias("authors"), text.alias("text")
+    )
 
 
 def with_abstract(articles: DataFrame) -> DataFrame:

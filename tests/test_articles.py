@@ -1,6 +1,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators.storage import load_artifact, save_artifact
@@ -66,11 +67,12 @@ def test_numbering_lookup_and_related(spark, tmp_path):
         paper("a", ["abs"], [("clinical work", "I")]),
         paper("b", None, [("screening", "I")]),
     ])
-    flat = art.flatten_articles(art.scan_articles(spark, str(tmp_path)))
+    nested = art.scan_articles(spark, str(tmp_path))
+    flat = art.flatten_articles(nested)
     meta = {r.paper_id: (r.paper_number, r.label) for r in art.article_metadata(flat).collect()}
     assert meta == {"a": (0, 1), "b": (1, 1), "c": (2, 1)}
-    assert art.article_lookup(flat, 0).first().text == "abs"
-    assert art.article_lookup(flat, 1).first().text == "screening "
+    assert art.article_lookup(nested, 0).first().text == "abs"
+    assert art.article_lookup(nested, 1).first().text == "screening "
     found = art.related_abstracts(flat, ["clinical", "screening", "surveillance"])
     assert [r.paper_id for r in found.collect()] == ["a"]  # case matters, and b has no abstract
     assert {r.paper_id: r.paper_number for r in art.number_articles(flat).collect()} == {"a": 0, "b": 1, "c": 2}
@@ -109,3 +111,10 @@ def test_artifacts(spark, tmp_path):
     save_artifact(df, str(tmp_path / "tokens"))
     assert sorted(map(tuple, load_artifact(spark, str(tmp_path / "tokens")).collect())) == [(1, ["a", "b"]), (2, [])]
     assert df.agg(F.count("*")).first()[0] == 2
+
+
+def test_broken_file_is_an_error(spark, tmp_path):
+    write(tmp_path, [paper("a", None, [("x", "I")])])
+    (tmp_path / "part0" / "z.json").write_text('{"paper_id": "z", ')
+    with pytest.raises(Exception, match="MALFORMED|Malformed|FAILFAST"):
+        art.flatten_articles(art.scan_articles(spark, str(tmp_path))).collect()
