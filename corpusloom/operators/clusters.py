@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators.ranking import top_n_per_group
 from corpusloom.operators.sampling import shuffle_subset
-from corpusloom.operators.storage import settle_for_fits
+from corpusloom.operators.storage import settle, settle_for_fits
 from corpusloom.operators.text import cluster_tokens, group_word_frequencies
 
 
@@ -27,7 +27,7 @@ class MixtureFit:
 
 def reduce_dimensions(df: DataFrame, dims: int, features: str = "features") -> DataFrame:
     """Principal components: a full covariance per mixture component needs a narrow input."""
-    rows = settle_for_fits(df)
+    rows = settle(df)
     model = PCA(k=dims, inputCol=features, outputCol="_pca").fit(rows)
     return model.transform(rows).drop(features).withColumnRenamed("_pca", features)
 
@@ -57,7 +57,8 @@ def gmm_fit_predict(
 
 def gmm_means(fit: MixtureFit) -> DataFrame:
     """Mean vector of every component."""
-    return fit.model.gaussiansDF.select(F.monotonically_increasing_id().alias("cluster"), "mean")
+    means = [(i, g.mean) for i, g in enumerate(fit.model.gaussians)]
+    return fit.clusters.sparkSession.createDataFrame(means, ["cluster", "mean"])
 
 
 def gmm_bic_aic(fit: MixtureFit, spark) -> DataFrame:

@@ -9,6 +9,8 @@ Only the table of partition or bucket sizes is ever ordered as a whole, and its
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,14 +91,17 @@ def sample_n(df: DataFrame, n: int, seed, id_col: str) -> DataFrame:
     return df
 
 
-def sample_per_cell(df: DataFrame, cell: list[str], size: str, seed: Column, id_col: str) -> DataFrame:
-    """The first `size` rows in hash order of every cell.
+def sample_per_cell(
+    df: DataFrame, cell: list[str], size: str, seed: Column, id_col: str, rows_per_cell: int
+) -> DataFrame:
+    """The first `size` rows in hash order of every cell; `rows_per_cell` only sets how fine the buckets are.
 
     Whole buckets below the cut pass untouched; only the one bucket that straddles the cut is ranked, so no task
     ever sorts a full cell. The cut table holds one row per cell and the number of cells is a parameter.
     """
+    digits = max(1, min(4, math.ceil(math.log(max(rows_per_cell, 1) / 1_000, 16))))
     keyed = df.withColumn("_h", hash_order(seed, F.col(id_col)))
-    keyed = keyed.withColumn("_bucket", F.substring("_h", 1, _BUCKET_DIGITS))
+    keyed = keyed.withColumn("_bucket", F.substring("_h", 1, digits))
     sizes = keyed.groupBy(*cell, "_bucket").agg(F.count("*").alias("_n"), F.first(size).alias("_size"))
     upto = Window.partitionBy(*cell).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     cuts = settle(

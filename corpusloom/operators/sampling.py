@@ -80,7 +80,7 @@ def incremental_samples(
     drawn = pool.join(F.broadcast(rest), "size_idx")  # one row per step
     drawn = drawn.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
     cell_seed = F.concat_ws(":", F.lit(seed), "size_idx", "repeat")
-    return sample_per_cell(drawn, ["size_idx", "repeat"], "_wanted", cell_seed, ID).drop("_wanted")
+    return sample_per_cell(drawn, ["size_idx", "repeat"], "_wanted", cell_seed, ID, labels.count()).drop("_wanted")
 
 
 def union_training(

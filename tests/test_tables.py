@@ -39,9 +39,10 @@ def test_hash_rank_sample_and_cells(spark):
         assert len(got) == len(want) and set(got) == want
 
 
-def test_cell_samples_are_exact(spark):
+@pytest.mark.parametrize("rows", [200, 10**6, 10**12])
+def test_cell_samples_are_exact(spark, rows):
     df = spark.createDataFrame([(c, i, [0, 7, 500][c]) for c in range(3) for i in range(200)], "cell int, id int, size int")
-    got = ranking.sample_per_cell(df, ["cell"], "size", F.col("cell"), "id")
+    got = ranking.sample_per_cell(df, ["cell"], "size", F.col("cell"), "id", rows)
     assert {r.cell: r["count"] for r in got.groupBy("cell").count().collect()} == {1: 7, 2: 200}
     first = {r.id for r in ranking.sample_n(df.where("cell = 1"), 7, "1", "id").collect()}
     assert {r.id for r in got.where("cell = 1").collect()} == first
