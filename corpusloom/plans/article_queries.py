@@ -27,7 +27,7 @@ def scan_articles(spark, sf_dir):
     return art.flatten_articles(art.scan_articles(spark, path, one_per_file=False))
 
 
-@query("filter_json_files", "SELECT count(DISTINCT conv_id) AS documents FROM conversations")
+@query("filter_json_files", _WITH_ARTICLES + "SELECT count(*) AS documents FROM articles")
 def filter_json_files(spark, sf_dir):
     # The folder holds the articles twice, as .json and as .txt files; the scan has to see the former only.
     path = scratch_path(spark, "mixed")
@@ -67,8 +67,8 @@ def article_keywords(spark, sf_dir):
 def running_keywords(spark, sf_dir):
     """The same accumulation from flat paragraph rows."""
     return art.running_keywords(
-        inputs.table(spark, sf_dir, "conversations").where(F.col("role") == "user").select(
-            F.col("conv_id").cast("string").alias("paper_id"), F.col("turn").alias("pos"), "text"
+        inputs.article_turns(spark, sf_dir).where(F.col("role") == "user").select(
+            "paper_id", F.col("turn").alias("pos"), "text"
         )
     )
 

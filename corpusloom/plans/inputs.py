@@ -10,6 +10,8 @@ from corpusloom.operators.text import clean_tokens, tokenize, vectoriser_tokens
 from corpusloom.sources.articles import flatten_articles
 from corpusloom.sources.labels import label_sheet
 
+ARTICLE_TURNS = 1000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -69,19 +71,24 @@ def doc_topics(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("paper_number"), F.col("embedding").alias("weights"))
 
 
+def article_turns(spark, sf_dir) -> DataFrame:
+    block = F.floor(F.col("turn") / ARTICLE_TURNS)
+    return table(spark, sf_dir, "conversations").withColumn("paper_id", F.concat_ws("-", "conv_id", block))
+
+
 def nested_articles(spark, sf_dir) -> DataFrame:
     """Conversations as nested articles: system turns are the abstract, the others the body, user turns the keywords.
 
-    An article is one row, as it is one file elsewhere, so its turns have to meet in one group.
+    A conversation without end would not fit a row, so an article takes at most ARTICLE_TURNS of its turns.
     """
     turns = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
-    grouped = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(turns.alias("turns"))
+    grouped = article_turns(spark, sf_dir).groupBy("paper_id").agg(turns.alias("turns"))
     abstract = F.filter("turns", lambda t: t["role"] == "system")
     body = F.filter("turns", lambda t: t["role"] != "system")
     section = lambda t: F.when(t["role"] == "user", F.lit("Keywords")).otherwise(t["role"])
     author = lambda t: F.struct(t["role"].alias("first"), t["turn"].cast("string").alias("last"))
     return grouped.select(
-        F.col("conv_id").cast("string").alias("paper_id"),
+        "paper_id",
         F.struct(
             F.substring(F.get("turns.text", F.lit(0)), 1, 60).alias("title"),
             F.transform("turns", author).alias("authors"),

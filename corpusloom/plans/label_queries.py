@@ -94,7 +94,7 @@ def roc_curve(spark, sf_dir):
 @query(
     "curve_summary",
     f"""SELECT doc_id % 11 AS size_idx, lang AS split, 'words' AS metric, min(n_words) AS lo,
-  list_sort(list(n_words))[count(*) // 2 + 1] AS mid, max(n_words) AS hi
+  cast(list_sort(list(n_words))[count(*) // 2 + 1] AS DOUBLE) AS mid, max(n_words) AS hi
 FROM documents JOIN {_WORDS} ON paper_number = doc_id GROUP BY 1, 2""",
 )
 def curve_summary(spark, sf_dir):
@@ -180,7 +180,7 @@ def incremental_samples(spark, sf_dir):
     "union_training",
     _CURVE
     + "SELECT size_idx, repeat, paper_number, label FROM dev WHERE size_idx = 0 UNION ALL "
-    "SELECT size_idx, r.repeat, paper_number, label FROM dev, (SELECT unnest(range(0, 40)) AS repeat) r WHERE size_idx > 0 "
+    "SELECT size_idx, r.repeat, paper_number, label FROM dev, (SELECT cast(unnest(range(0, 40)) AS INT) AS repeat) r WHERE size_idx > 0 "
     "UNION ALL SELECT size_idx, repeat, paper_number, label FROM drawn",
 )
 def union_training(spark, sf_dir):

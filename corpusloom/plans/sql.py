@@ -117,17 +117,18 @@ norms AS (SELECT paper_number, sqrt(sum(w * w)) AS norm FROM cells GROUP BY pape
 tfidf AS (SELECT paper_number, term, round(w / norm, 6) AS weight FROM cells JOIN norms USING (paper_number))"""
 
 
-ARTICLES = """articles AS (SELECT cast(conv_id AS VARCHAR) AS paper_id,
+_PAPER = "conv_id || '-' || (turn // 1000)"
+ARTICLES = f"""articles AS (SELECT {_PAPER} AS paper_id,
   left(arg_min(text, turn), 60) AS title,
   CASE WHEN count(*) FILTER (role <> 'system') > 0 THEN string_agg(role || ' ' || turn, ', ' ORDER BY turn) ELSE '' END AS authors,
   coalesce(string_agg(text, ' ' ORDER BY turn) FILTER (role = 'system'), '') AS abstract,
   coalesce(string_agg(text, ' ' ORDER BY turn) FILTER (role <> 'system'), '') || ' '
     || coalesce(string_agg(text, ' ' ORDER BY turn) FILTER (role = 'system'), '') AS body
-  FROM conversations GROUP BY conv_id)"""
+  FROM conversations GROUP BY {_PAPER})"""
 NUMBERED = "numbered AS (SELECT *, row_number() OVER (ORDER BY paper_id) - 1 AS paper_number FROM articles)"
-KEYWORDS = """keywords AS (SELECT cast(conv_id AS VARCHAR) AS paper_id,
-  row_number() OVER w - 1 AS seq, string_agg(text, '') OVER w AS keywords
-  FROM conversations WHERE role = 'user' WINDOW w AS (PARTITION BY conv_id ORDER BY turn))"""
+KEYWORDS = f"""keywords AS (SELECT {_PAPER} AS paper_id,
+  cast(row_number() OVER w - 1 AS INT) AS seq, string_agg(text, '') OVER w AS keywords
+  FROM conversations WHERE role = 'user' WINDOW w AS (PARTITION BY {_PAPER} ORDER BY turn))"""
 META = """metadata AS (SELECT cast(doc_id AS VARCHAR) AS paper_id, source || ' ' || lang AS title, '' AS authors,
   doc_id AS paper_number, 1 AS label FROM documents)"""
 LABELS = "sheet AS (SELECT doc_id AS paper_number, quality AS label FROM labels)"
@@ -147,9 +148,9 @@ batch AS (SELECT paper_number, score, rank, 'low' AS slice FROM ranked WHERE ran
 
 def curve_cells(steps: int, repeats: int, per_class: int, seed: str) -> str:
     """Dev sets and samples of a learning curve."""
-    return f"""ks AS (SELECT unnest(range(0, {steps + 1})) AS size_idx),
+    return f"""ks AS (SELECT cast(unnest(range(0, {steps + 1})) AS INT) AS size_idx),
 dev_cells AS (SELECT k.size_idx, r.repeat FROM ks k,
-  LATERAL (SELECT unnest(range(0, CASE WHEN k.size_idx = 0 THEN {repeats} ELSE 1 END)) AS repeat) r),
+  LATERAL (SELECT cast(unnest(range(0, CASE WHEN k.size_idx = 0 THEN {repeats} ELSE 1 END)) AS INT) AS repeat) r),
 dev AS (SELECT size_idx, repeat, paper_number, label FROM (SELECT *, row_number() OVER (
     PARTITION BY size_idx, repeat, label
     ORDER BY md5('{seed}:dev:' || size_idx || ':' || repeat || ':' || paper_number), paper_number) AS rn
@@ -160,4 +161,4 @@ drawn AS (SELECT size_idx, repeat, paper_number, label FROM (SELECT *,
     count(*) OVER (PARTITION BY size_idx, repeat) AS n_rest,
     row_number() OVER (PARTITION BY size_idx, repeat
       ORDER BY md5('{seed}:' || size_idx || ':' || repeat || ':' || paper_number), paper_number) AS rn
-  FROM pool, (SELECT unnest(range(0, {repeats})) AS repeat)) WHERE rn <= n_rest // {steps} * size_idx)"""
+  FROM pool, (SELECT cast(unnest(range(0, {repeats})) AS INT) AS repeat)) WHERE rn <= n_rest // {steps} * size_idx)"""

@@ -61,7 +61,7 @@ def grid_results_by_decay(spark, sf_dir):
 # Languages as topics, occurrences as weights.
 _LANG_WORDS = sql.with_(sql.CORPUS, sql.LISTS, sql.TOKENS).rstrip() + """,
 topic_words AS (SELECT lang AS topic, term, count(*) AS weight FROM tokens JOIN documents ON doc_id = paper_number GROUP BY 1, 2),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY weight DESC, term) AS rank FROM topic_words)
+ranked AS (SELECT *, cast(row_number() OVER (PARTITION BY topic ORDER BY weight DESC, term) AS INT) AS rank FROM topic_words)
 """
 
 
@@ -91,7 +91,7 @@ heads AS (SELECT paper_number, term FROM (SELECT *, row_number() OVER (PARTITION
   WHERE place <= 3000),
 counts AS (SELECT lang AS cluster, term, count(*) AS n FROM heads JOIN documents ON doc_id = paper_number
   WHERE term NOT IN ({sql.STOP}) GROUP BY 1, 2),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, term) AS rank FROM counts)
+ranked AS (SELECT *, cast(row_number() OVER (PARTITION BY cluster ORDER BY n DESC, term) AS INT) AS rank FROM counts)
 """
 
 
