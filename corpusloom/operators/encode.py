@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.encoding import token_id_udf, word_piece_udf
-from corpusloom.operators.text import salt_of, within_token_budget
+from corpusloom.operators.text import explode_places, salt_of, within_token_budget
 
 LOOKUP_TERMS = 500_000
 CLS, SEP, UNK = "[CLS]", "[SEP]", "[UNK]"
@@ -66,7 +66,7 @@ def encode_token_ids(
     if entries is not None:
         lookup = token_id_udf([r.term for r in entries], [r.id for r in entries], unknown)
         return df.withColumn(out, _padded(lookup(col), max_len))
-    tokens = df.select(id_col, F.posexplode(col).alias("_pos", "term")).withColumn("_salt", salt_of(id_col, salts))
+    tokens = explode_places(df, col, [id_col]).withColumn("_salt", salt_of(id_col, salts))
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     terms = vocab.select("term", F.col("id").alias("_id"), every_salt.alias("_salt"))
     found = tokens.join(terms, ["term", "_salt"], "left")

@@ -21,6 +21,27 @@ from corpusloom.operators.storage import settle
 LITERAL_WORDS = 5_000
 
 
+def explode_terms(df: DataFrame, col: str = "tokens", keep: list[str] | None = None) -> DataFrame:
+    """One row per token, in column `term`.
+
+    From a plain explode the optimiser infers size(tokens) > 0, pushes that below the projection and so computes the
+    tokens twice. The outer form infers nothing; the null row of an empty document is dropped afterwards.
+    """
+    return df.select(*(keep or []), F.explode_outer(col).alias("term")).where(F.col("term").isNotNull())
+
+
+def explode_places(df: DataFrame, col: str, keep: list[str]) -> DataFrame:
+    """One row per token with its place `_pos`; see explode_terms."""
+    return df.select(*keep, F.posexplode_outer(col).alias("_pos", "term")).where(F.col("term").isNotNull())
+
+
+def keep_arrays(df: DataFrame, col: str, test) -> DataFrame:
+    """Rows whose array passes a test, as a generator: a plain filter would be pushed below the projection and compute
+    the array twice."""
+    others = [c for c in df.columns if c != col]
+    return df.select(*others, F.explode(F.filter(F.array(col), test)).alias(col))
+
+
 def tokenize(df: DataFrame, col: str, out: str = "tokens", min_len: int = 2, max_len: int = 15) -> DataFrame:
     return df.withColumn(out, token_array(F.col(col), min_len, max_len))
 
@@ -57,7 +78,7 @@ def token_head(df: DataFrame, col: str = "tokens", n: int = 3000) -> DataFrame:
 
 def within_token_budget(df: DataFrame, col: str = "tokens", max_len: int = 900, markers: int = 2) -> DataFrame:
     """Documents whose tokens plus the markers fit into a fixed-length input."""
-    return df.where(F.size(col) + markers <= max_len)
+    return keep_arrays(df, col, lambda t: F.size(t) + markers <= max_len)
 
 
 def word_count(df: DataFrame, col: str, out: str = "n_words") -> DataFrame:
@@ -100,7 +121,7 @@ def word_histogram(df: DataFrame, col: str) -> DataFrame:
 def term_counts(df: DataFrame, col: str = "tokens", by: list[str] | None = None) -> DataFrame:
     """Occurrences of every term; each map task sends one partial count per term."""
     by = by or []
-    return df.select(*by, F.explode(col).alias("term")).groupBy(*by, "term").agg(F.count("*").alias("n"))
+    return explode_terms(df, col, by).groupBy(*by, "term").agg(F.count("*").alias("n"))
 
 
 def top_terms(counts: DataFrame, n: int) -> DataFrame:
@@ -110,7 +131,7 @@ def top_terms(counts: DataFrame, n: int) -> DataFrame:
 def word_frequencies(df: DataFrame, col: str = "tokens", words: list[str] | None = None, top: int = 200) -> DataFrame:
     """Word-cloud table: the most frequent terms outside the stop list, scaled by the largest count."""
     stop = STOP_WORDS if words is None else words
-    terms = df.select(F.explode(col).alias("term")).where(~F.col("term").isin(list(stop)))
+    terms = explode_terms(df, col).where(~F.col("term").isin(list(stop)))
     ranked = top_terms(terms.groupBy("term").agg(F.count("*").alias("n")), top)
     largest = F.max("n").over(Window.partitionBy())  # at most `top` rows are left here
     return ranked.withColumn("frequency", F.col("n") / largest)
@@ -121,7 +142,7 @@ def group_word_frequencies(
 ) -> DataFrame:
     """Word-cloud table per group."""
     stop = STOP_WORDS if words is None else words
-    terms = df.select(by, F.explode(col).alias("term")).where(~F.col("term").isin(list(stop)))
+    terms = explode_terms(df, col, [by]).where(~F.col("term").isin(list(stop)))
     counts = terms.groupBy(by, "term").agg(F.count("*").alias("n"))
     ranked = top_n_per_group(counts, [by], [F.desc("n"), F.col("term")], top)
     largest = F.max("n").over(Window.partitionBy(by))
@@ -143,8 +164,8 @@ def vocab_filter(df: DataFrame, vocabulary: DataFrame, id_col: str, col: str = "
     words = bounded_terms(vocabulary)
     if words is not None:
         kept = df.select(id_col, F.filter(col, lambda w: w.isin(words)).alias(col))
-        return kept.where(F.size(col) > 0)
-    tokens = df.select(id_col, F.posexplode(col).alias("_pos", "term")).withColumn("_salt", salt_of(id_col, salts))
+        return keep_arrays(kept, col, lambda t: F.size(t) > 0)
+    tokens = explode_places(df, col, [id_col]).withColumn("_salt", salt_of(id_col, salts))
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     terms = vocabulary.select("term").distinct().withColumn("_salt", every_salt)
     kept = tokens.join(terms, ["term", "_salt"], "left_semi")
@@ -159,7 +180,7 @@ def salt_of(id_col: str, salts: int) -> Column:
 def semi_join_vocab(df: DataFrame, vocabulary: DataFrame, id_col: str, col: str = "tokens") -> DataFrame:
     """The (document, term) occurrences whose term is in the vocabulary."""
     kept = vocab_filter(df, vocabulary, id_col, col)
-    return kept.select(id_col, F.explode(col).alias("term"))
+    return explode_terms(kept, col, [id_col])
 
 
 def cluster_tokens(clusters: DataFrame, df: DataFrame, id_col: str, col: str = "tokens", n: int = 3000) -> DataFrame:

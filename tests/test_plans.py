@@ -40,6 +40,19 @@ def test_one_shuffle_per_term_statistic(docs):
     assert "TakeOrderedAndProject" in plan(text.top_terms(text.term_counts(tokens), 10))
 
 
+def test_tokens_are_computed_once(spark, docs):
+    tokens = text.tokenize(docs, "text").select("paper_number", "tokens")
+    vocab = spark.createDataFrame([("the",)], "term string")
+    for df in (text.term_counts(tokens), text.word_frequencies(tokens), features.document_frequency(tokens),
+               text.within_token_budget(tokens), text.vocab_filter(tokens, vocab, "paper_number")):
+        assert plan(df).count("regexp_extract_all") == 1
+    stems = text.clean_tokens(docs, "text").select("paper_number", "tokens")
+    clusters = docs.select("paper_number", (F.col("paper_number") % 3).alias("cluster"))
+    words = text.group_word_frequencies(text.cluster_tokens(clusters, stems, "paper_number"), "cluster")
+    for df in (text.term_counts(stems), features.document_frequency(text.vectoriser_tokens(stems)), words):
+        assert plan(df).count("ArrowEvalPython") == 1 and plan(df).count("regexp_extract_all") == 1
+
+
 def test_groups_are_cut_before_the_shuffle(spark, sf_dir, docs):
     dev = sampling.balanced_dev_set(inputs.labels(spark, sf_dir), 10)
     assert plan(dev).count("WindowGroupLimit") == 2
