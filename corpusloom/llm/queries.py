@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import sum_of_squares, token_counts, token_files
+from corpusloom.llm import decontaminate, line_chunks, line_quality, sum_of_squares, token_counts, token_files
 from corpusloom.operators.storage import scratch_path
 from corpusloom.plans.inputs import table
 from corpusloom.plans.registry import query
@@ -34,3 +34,27 @@ def op5(spark, sf_dir):
 def op8(spark, sf_dir):
     """Pack the whole table into sequences of 2048 tokens."""
     return sum_of_squares.pack(sum_of_squares.token_pieces(documents(spark, sf_dir)))
+
+
+@query("op4_prefix_decontamination", decontaminate.ORACLE_SQL)
+def op4(spark, sf_dir):
+    """Benchmark windows inside whole documents by the prefix-filtered join."""
+    found = decontaminate.contained_items(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query("op10_line_labelling_quality")
+def op10(spark, sf_dir):
+    """Base rules and the verdict of the line labelling on whole texts."""
+    docs = documents(spark, sf_dir)
+    model = line_quality.train_line_model(docs, table(spark, sf_dir, "labels"))
+    return line_quality.judge_documents(docs, model).drop("text")
+
+
+@query("op9_line_chunks", line_chunks.ORACLE_SQL)
+def op9(spark, sf_dir):
+    """Texts without the chunks of lines that other documents, or the same one, have already."""
+    return line_chunks.dedup_lines(documents(spark, sf_dir))
