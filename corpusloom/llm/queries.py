@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, line_chunks, line_quality, sum_of_squares, token_counts, token_files
+from corpusloom.llm import decontaminate, line_chunks, line_quality, prob_minhash, sum_of_squares, token_counts, token_files
 from corpusloom.operators.storage import scratch_path
 from corpusloom.plans.inputs import table
 from corpusloom.plans.registry import query
@@ -58,3 +58,9 @@ def op10(spark, sf_dir):
 def op9(spark, sf_dir):
     """Texts without the chunks of lines that other documents, or the same one, have already."""
     return line_chunks.dedup_lines(documents(spark, sf_dir))
+
+
+@query("op3_prob_minhash")
+def op3(spark, sf_dir):
+    """The class of near-duplicates of every document."""
+    return prob_minhash.near_duplicate_classes(documents(spark, sf_dir)).select(F.col("id").alias("doc_id"), "class_id")
