@@ -103,9 +103,13 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> np.nd
 def train(
     features: np.ndarray, counts: np.ndarray, labels: np.ndarray, lengths: np.ndarray, n_features: int,
     n_labels: int = 2, weight: np.ndarray | None = None, rounds: int = 120, rate: float = 0.1, penalty: float = 1e-4,
+    rows: np.ndarray | None = None,
 ) -> Model:
     """Maximum likelihood with an L2 penalty by full-batch Adam. `weight` weighs items' label terms, by item.
 
+    `features` and `counts` describe the items in order, or, with `rows`, a list of kinds of items, of which `rows`
+    names one for each item.
+
     The same rows in the same order give the same model. With no rows all weights are zero.
     """
     model = Model(np.zeros((n_features, n_labels)), np.zeros((n_labels, n_labels)))
@@ -118,16 +122,18 @@ def train(
     inner[starts] = False
     inner = np.flatnonzero(inner)
     weight = np.ones(len(labels)) if weight is None else weight
+    rows = np.arange(len(labels)) if rows is None else rows
     seen = np.eye(n_labels)[labels]
     flat = [model.weights, model.moves]
     first, second = [np.zeros_like(p) for p in flat], [np.zeros_like(p) for p in flat]
     scale = 1 / weight.sum()
     for step in range(1, rounds + 1):
-        scores = model.scores(features, counts)
+        scores = model.scores(features, counts)[rows]
         alpha, beta = forward(scores, chains, model.moves), backward(scores, chains, model.moves)
         total = _join(alpha + beta)
         pull = (seen - np.exp(alpha + beta - total[:, None])) * weight[:, None]
-        by_feature = np.stack([np.bincount(features, pull[owner, k], n_features) for k in range(n_labels)], axis=1)
+        by_row = np.stack([np.bincount(rows, pull[:, k], len(counts)) for k in range(n_labels)], axis=1)
+        by_feature = np.stack([np.bincount(features, by_row[owner, k], n_features) for k in range(n_labels)], axis=1)
         ahead = (scores + beta)[inner] - total[inner][:, None]
         pairs = np.exp(alpha[inner - 1][:, :, None] + model.moves + ahead[:, None, :])
         met = seen[inner - 1][:, :, None] * seen[inner][:, None, :]

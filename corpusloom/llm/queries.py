@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, line_chunks, line_quality, prob_minhash, sum_of_squares, token_counts, token_files
+from corpusloom.llm import decontaminate, line_chunks, line_quality, prob_minhash, sum_of_squares, token_counts, token_files, toxic_spans
 from corpusloom.operators.storage import scratch_path
 from corpusloom.plans.inputs import table
 from corpusloom.plans.registry import query
@@ -64,3 +64,13 @@ def op9(spark, sf_dir):
 def op3(spark, sf_dir):
     """The class of near-duplicates of every document."""
     return prob_minhash.near_duplicate_classes(documents(spark, sf_dir)).select(F.col("id").alias("doc_id"), "class_id")
+
+
+@query("op2_toxic_spans")
+def op2(spark, sf_dir):
+    """Toxicity of whole texts; every fifth of the ids, by their checksum, is held out from training."""
+    held_out = (F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("held_out")
+    docs = documents(spark, sf_dir)
+    tagger = toxic_spans.train_tagger(docs, table(spark, sf_dir, "labels").where(~held_out))
+    scored = toxic_spans.score_documents(docs, tagger)
+    return scored.select("doc_id", held_out, "score", "predicted", F.size("toxic_spans").alias("n_spans"), "toxic_spans.start")
