@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontaminate, line_chunks, line_quality, prob_minhash, sum_of_squares, token_counts, token_files, toxic_spans
+from corpusloom.llm import column_suffix, decontaminate, line_chunks, line_quality, prob_minhash, sum_of_squares, token_counts, token_files, toxic_spans
 from corpusloom.operators.storage import scratch_path
 from corpusloom.plans.inputs import table
 from corpusloom.plans.registry import query
@@ -74,3 +74,14 @@ def op2(spark, sf_dir):
     tagger = toxic_spans.train_tagger(docs, table(spark, sf_dir, "labels").where(~held_out))
     scored = toxic_spans.score_documents(docs, tagger)
     return scored.select("doc_id", held_out, "score", "predicted", F.size("toxic_spans").alias("n_spans"), "toxic_spans.start")
+
+
+@query("op6_column_suffix_dedup")
+def op6(spark, sf_dir):
+    """Bytes left of whole texts without strings of 400 bytes that start anywhere else."""
+    left = column_suffix.remove_repeats(documents(spark, sf_dir))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    return left.select(
+        "doc_id", size.alias("n_bytes"), (size - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
