@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import unicodedata
 
 import pyarrow as pa
@@ -15,14 +16,25 @@ def _lists(like: pa.Array, counts, values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, values, mask=like.is_null())
 
 
-def token_id_udf(terms: list[str], ids: list[int], unknown: int):
-    """UDF: token array -> id array, unknown tokens get the given id."""
+@functools.lru_cache(maxsize=4)
+def _built(sent, build):
+    """What a worker builds from a broadcast value, kept for the batches that follow."""
+    return build(sent.value)
+
+
+def _lookup_table(table: tuple[list[str], list[int]]) -> tuple[pa.Array, pa.Array]:
+    return pa.array(table[0], pa.string()), pa.array(table[1], pa.int32())
+
+
+def token_id_udf(sent, unknown: int):
+    """UDF: token array -> id array by a broadcast (terms, ids); unknown tokens get the given id."""
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def token_ids(tokens: pa.Array) -> pa.Array:
+        terms, ids = _built(sent, _lookup_table)
         flat = tokens.flatten()
-        places = pc.index_in(flat, value_set=pa.array(terms, flat.type))
-        found = pc.fill_null(pa.array(ids, pa.int32()).take(places), unknown)
+        places = pc.index_in(flat, value_set=terms.cast(flat.type))
+        found = pc.fill_null(ids.take(places), unknown)
         counts = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
         return _lists(tokens, counts, found)
 
@@ -49,7 +61,9 @@ def basic_words(chunk: str) -> list[str]:
 
 
 def word_pieces(word: str, vocab, unknown: str = "[UNK]", longest: int = 200) -> list[str]:
-    """Greedy longest-match split into vocabulary pieces; inner pieces carry a leading ##."""
+    """Greedy longest-match split into vocabulary pieces; inner pieces carry a leading ##.
+
+    A word of more than `longest` characters is unknown as a whole: that is the sub-word tokenizer's own rule."""
     pieces, start = [], 0
     if len(word) > longest:
         return [unknown]
@@ -64,12 +78,12 @@ def word_pieces(word: str, vocab, unknown: str = "[UNK]", longest: int = 200) ->
     return pieces
 
 
-def word_piece_udf(terms: list[str]):
-    """UDF: array of whitespace-free chunks -> array of vocabulary pieces."""
-    vocab = frozenset(terms)
+def word_piece_udf(sent):
+    """UDF: array of whitespace-free chunks -> array of pieces of a broadcast vocabulary."""
 
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def pieces(chunks: pa.Array) -> pa.Array:
+        vocab = _built(sent, frozenset)
         words = chunks.flatten().dictionary_encode()
         split = [[p for w in basic_words(c) for p in word_pieces(w, vocab)] for c in words.dictionary.to_pylist()]
         per_word = pa.array(split, pa.list_(pa.string())).take(words.indices)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -10,14 +12,20 @@ from pyspark.sql import types as T
 _CHUNK = 256
 
 
+@functools.lru_cache(maxsize=4)
+def _drawn(dim: int, n_features: int, gamma: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and shifts, drawn once per worker."""
+    rng = np.random.default_rng(seed)
+    weights = rng.normal(scale=np.sqrt(2.0 * gamma), size=(dim, n_features))
+    return weights, rng.uniform(0.0, 2.0 * np.pi, size=n_features)
+
+
 def fourier_udf(dim: int, n_features: int, gamma: float, seed: int):
-    """UDF: (indices, values) of a sparse vector -> n_features cosine features. Weights are redrawn from the seed."""
+    """UDF: (indices, values) of a sparse vector -> n_features cosine features. Weights follow from the seed."""
 
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def features(indices: pa.Array, values: pa.Array) -> pa.Array:
-        rng = np.random.default_rng(seed)
-        weights = rng.normal(scale=np.sqrt(2.0 * gamma), size=(dim, n_features))
-        shift = rng.uniform(0.0, 2.0 * np.pi, size=n_features)
+        weights, shift = _drawn(dim, n_features, gamma, seed)
         lengths = values.value_lengths().to_numpy(zero_copy_only=False)
         ends = np.concatenate([[0], np.cumsum(lengths)])
         place, value = indices.flatten().to_numpy(), values.flatten().to_numpy()

@@ -6,18 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.encoding import token_id_udf, word_piece_udf
-from corpusloom.operators.text import explode_places, salt_of, within_token_budget
+from corpusloom.operators.text import salt_of, within_token_budget
 
 LOOKUP_TERMS = 500_000
 CLS, SEP, UNK = "[CLS]", "[SEP]", "[UNK]"
 
 
 def word_piece_tokens(df: DataFrame, text: str, vocab: DataFrame, out: str = "tokens") -> DataFrame:
-    """Sub-word tokens of a text for a vocabulary of at most LOOKUP_TERMS pieces."""
-    entries = _bounded_vocab(vocab)
-    if entries is None:
-        raise ValueError(f"a sub-word vocabulary has at most {LOOKUP_TERMS} entries")
-    split = word_piece_udf([r.term for r in entries])
+    """Sub-word tokens of a text. The vocabulary belongs to a model; it is sent to every executor once."""
+    terms = sorted(r.term for r in vocab.select("term").distinct().collect())
+    split = word_piece_udf(df.sparkSession.sparkContext.broadcast(terms))
     return df.withColumn(out, split(F.filter(F.split(text, r"\s+"), lambda c: c != "")))
 
 
@@ -48,31 +46,35 @@ def encode_segments(df: DataFrame, col: str = "tokens", max_len: int = 900, out:
     return df.withColumn(out, _padded(second, max_len))
 
 
-def _bounded_vocab(vocab: DataFrame):
-    rows = vocab.select("term", "id").limit(LOOKUP_TERMS + 1).collect()
-    return rows if len(rows) <= LOOKUP_TERMS else None
-
-
 def encode_token_ids(
     df: DataFrame, vocab: DataFrame, id_col: str, col: str = "tokens", max_len: int = 900, unknown: int = 1,
-    out: str = "ids", salts: int = 64,
+    out: str = "ids", salts: int = 64, lookup_terms: int = LOOKUP_TERMS,
 ) -> DataFrame:
-    """Vocabulary id of every token, zero-padded to max_len.
+    """Vocabulary id of every token, zero-padded to max_len; null for a null token array. A term listed more than once
+    has its lowest id.
 
     A vocabulary of ordinary size is looked up inside each Arrow batch, without a shuffle. A larger one is joined
-    with salted terms, so that a frequent term does not end up in one task.
+    with salted terms, so that a frequent term does not end up in one task. Both give the same rows.
     """
-    entries = _bounded_vocab(vocab)
-    if entries is not None:
-        lookup = token_id_udf([r.term for r in entries], [r.id for r in entries], unknown)
+    unique = vocab.groupBy("term").agg(F.min("id").alias("id"))
+    entries = unique.limit(lookup_terms + 1).collect()
+    if len(entries) <= lookup_terms:
+        table = [r.term for r in entries], [r.id for r in entries]
+        lookup = token_id_udf(df.sparkSession.sparkContext.broadcast(table), unknown)
         return df.withColumn(out, _padded(lookup(col), max_len))
-    tokens = explode_places(df, col, [id_col]).withColumn("_salt", salt_of(id_col, salts))
+    others = [c for c in df.columns if c not in (col, out)]
+    rows = df.withColumns({"_row": F.monotonically_increasing_id(), "_null": F.col(col).isNull()})
+    tokens = rows.select(*others, "_row", "_null", F.posexplode_outer(col).alias("_pos", "term"))
+    tokens = tokens.withColumn("_salt", salt_of("_row", salts))
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    terms = vocab.select("term", F.col("id").alias("_id"), every_salt.alias("_salt"))
+    terms = unique.select("term", F.col("id").alias("_id"), every_salt.alias("_salt"))
     found = tokens.join(terms, ["term", "_salt"], "left")
-    pairs = F.struct("_pos", F.coalesce("_id", F.lit(unknown)).cast("int").alias("id"))
-    ids = F.array_sort(F.collect_list(pairs))["id"]  # at most max_len tokens per document
-    return df.join(found.groupBy(id_col).agg(_padded(ids, max_len).alias(out)), id_col)
+    cell = F.when(F.col("_pos").isNotNull(), F.struct("_pos", "term", F.coalesce("_id", F.lit(unknown)).cast("int").alias("id")))
+    ordered = F.array_sort(F.collect_list(cell))  # at most max_len tokens per document
+    whole = found.groupBy("_row").agg(F.first(F.struct(*others, "_null")).alias("_of"), ordered.alias("_cells"))
+    present = ~F.col("_of._null")
+    back = whole.select("_of.*", F.when(present, F.col("_cells.term")).alias(col), F.when(present, _padded(F.col("_cells.id"), max_len)).alias(out))
+    return back.select(*df.columns, *([] if out in df.columns else [out]))
 
 
 def encode_tokens(df: DataFrame, vocab: DataFrame, id_col: str, col: str = "tokens", max_len: int = 900) -> DataFrame:

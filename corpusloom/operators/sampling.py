@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.operators.ranking import hash_order, sample_n, sample_per_cell, top_n_per_group, with_hash_rank
-from corpusloom.operators.storage import broadcast_if_small, settle
+from corpusloom.operators.storage import settle
 
 ID = "paper_number"
 
@@ -17,7 +17,7 @@ def shuffle_subset(df: DataFrame, n: int = 10_000, seed="subset", id_col: str =
 
 
 def except_labeled(corpus: DataFrame, labeled: DataFrame, id_col: str = ID) -> DataFrame:
-    return corpus.join(broadcast_if_small(labeled.select(id_col)), id_col, "left_anti")
+    return corpus.join(labeled.select(id_col), id_col, "left_anti")
 
 
 def holdout_sample(corpus: DataFrame, labeled: DataFrame, n: int = 200, seed="holdout", id_col: str = ID) -> DataFrame:
@@ -27,7 +27,7 @@ def holdout_sample(corpus: DataFrame, labeled: DataFrame, n: int = 200, seed="ho
 
 def label_split(labels: DataFrame, sizes: dict[str, int], seed="split", id_col: str = ID) -> DataFrame:
     """Random disjoint parts of the given sizes, in this order; rows beyond the last part are left out."""
-    ranked = with_hash_rank(labels, seed, id_col, "_rank")
+    ranked = with_hash_rank(settle(sample_n(labels, sum(sizes.values()), seed, id_col)), seed, id_col, "_rank")
     part, end = None, 0
     for name, size in sizes.items():
         end += size

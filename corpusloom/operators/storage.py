@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,11 +30,6 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
-def broadcast_if_small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
-    """Hint a broadcast for a table of a few narrow columns that is counted to be small; else let Spark choose."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def settle(df: DataFrame) -> DataFrame:
     """Write the rows once and cut the lineage, so later jobs all see the very same partitions."""
     shared_folder(df.sparkSession)

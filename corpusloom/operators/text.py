@@ -155,22 +155,25 @@ def bounded_terms(vocabulary: DataFrame, limit: int = LITERAL_WORDS) -> list[str
     return [r.term for r in rows] if len(rows) <= limit else None
 
 
-def vocab_filter(df: DataFrame, vocabulary: DataFrame, id_col: str, col: str = "tokens", salts: int = 64) -> DataFrame:
-    """Tokens that are in the vocabulary, in order; documents left empty disappear.
+def vocab_filter(
+    df: DataFrame, vocabulary: DataFrame, id_col: str, col: str = "tokens", salts: int = 64, literals: int = LITERAL_WORDS
+) -> DataFrame:
+    """Tokens that are in the vocabulary, in order; documents left empty disappear. Rows that share an id stay apart.
 
     A small vocabulary becomes a literal hash set and nothing is shuffled. A large one is joined with the terms
-    salted, so that a very frequent term is spread over `salts` tasks.
+    salted, so that a very frequent term is spread over `salts` tasks. Both give the same rows.
     """
-    words = bounded_terms(vocabulary)
+    words = bounded_terms(vocabulary, literals)
     if words is not None:
         kept = df.select(id_col, F.filter(col, lambda w: w.isin(words)).alias(col))
         return keep_arrays(kept, col, lambda t: F.size(t) > 0)
-    tokens = explode_places(df, col, [id_col]).withColumn("_salt", salt_of(id_col, salts))
+    rows = df.select(id_col, col, F.monotonically_increasing_id().alias("_row"))
+    tokens = explode_places(rows, col, [id_col, "_row"]).withColumn("_salt", salt_of("_row", salts))
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     terms = vocabulary.select("term").distinct().withColumn("_salt", every_salt)
     kept = tokens.join(terms, ["term", "_salt"], "left_semi")
     ordered = F.array_sort(F.collect_list(F.struct("_pos", "term")))
-    return kept.groupBy(id_col).agg(ordered["term"].alias(col))
+    return kept.groupBy("_row", id_col).agg(ordered["term"].alias(col)).drop("_row")
 
 
 def salt_of(id_col: str, salts: int) -> Column:

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from corpusloom.functions.words import RELATED_TERMS
 from corpusloom.operators.ranking import sample_n
 from corpusloom.operators.review import review_batch
-from corpusloom.operators.storage import load_artifact, save_artifact, scratch_path
-from corpusloom.operators.topics import dominant_topic, doc_topic_round, topic_distribution
+from corpusloom.operators.storage import load_artifact, save_artifact, scratch_path, settle
+from corpusloom.operators.text import clean_tokens, term_counts, word_frequencies
+from corpusloom.operators.topics import doc_topic_round, dominant_topic, top_words_per_topic, topic_distribution
 from corpusloom.plans import inputs, sql
 from corpusloom.plans.registry import query
 from corpusloom.sources import articles as art
@@ -27,6 +28,14 @@ def scan_articles(spark, sf_dir):
     return art.flatten_articles(art.scan_articles(spark, path, one_per_file=False))
 
 
+@query("scan_article_files", _WITH_ARTICLES + "SELECT paper_id, title, authors, abstract, body FROM articles")
+def scan_article_files(spark, sf_dir):
+    """The layout of one file per article."""
+    path = scratch_path(spark, "article-files")
+    inputs.nested_articles(spark, sf_dir).write.option("maxRecordsPerFile", 1).json(path)
+    return art.flatten_articles(art.scan_articles(spark, path))
+
+
 @query("filter_json_files", _WITH_ARTICLES + "SELECT count(*) AS documents FROM articles")
 def filter_json_files(spark, sf_dir):
     # The folder holds the articles twice, as .json and as .txt files; the scan has to see the former only.
@@ -63,6 +72,22 @@ def article_keywords(spark, sf_dir):
     return art.article_keywords(inputs.nested_articles(spark, sf_dir))
 
 
+_KEYWORD_TEXTS = "corpus AS (SELECT paper_id || ':' || seq AS paper_number, keywords AS text FROM keywords)"
+
+
+@query(
+    "keyword_cloud",
+    sql.with_(sql.KEYWORDS, _KEYWORD_TEXTS, sql.LISTS, sql.TOKENS, sql.KEPT, sql.STEMS, sql.CLEAN).rstrip()
+    + f""",
+counts AS (SELECT term, count(*) AS n FROM clean WHERE term NOT IN ({sql.STOP}) GROUP BY term)
+SELECT term, n, round(n / max(n) OVER (), 6) AS frequency FROM (SELECT * FROM counts ORDER BY n DESC, term LIMIT 200)""",
+)
+def keyword_cloud(spark, sf_dir):
+    """Word-cloud table of the cleaned keyword strings."""
+    cloud = word_frequencies(clean_tokens(art.article_keywords(inputs.nested_articles(spark, sf_dir)), "keywords"), top=200)
+    return cloud.withColumn("frequency", F.round("frequency", 6))
+
+
 @query("running_keywords", sql.with_(sql.KEYWORDS) + "SELECT paper_id, seq, keywords FROM keywords")
 def running_keywords(spark, sf_dir):
     """The same accumulation from flat paragraph rows."""
@@ -192,7 +217,8 @@ _FIRST_ARTICLES = (
 
 @query("write_label_sheet", _FIRST_ARTICLES)
 def write_label_sheet(spark, sf_dir):
-    return sinks.write_label_csv(art.article_metadata(inputs.articles(spark, sf_dir)), scratch_path(spark, "sheet"), 200)
+    first = inputs.articles(spark, sf_dir).orderBy("paper_id").limit(200)  # numbers follow the ids, so these come first
+    return sinks.write_label_csv(art.article_metadata(settle(first)), scratch_path(spark, "sheet"), 200)
 
 
 @query(
@@ -217,14 +243,33 @@ def write_review_batch(spark, sf_dir):
 
 @query(
     "write_topic_reports",
-    sql.with_(sql.WEIGHTS)
-    + "SELECT 'doc_topics' AS report, count(*) AS rows FROM rounded UNION ALL "
-    "SELECT 'topic_distribution', count(DISTINCT t) FROM (SELECT arg_max(topic, (weight, -topic)) AS t FROM rounded "
-    "GROUP BY paper_number) UNION ALL SELECT 'topic_keywords', count(DISTINCT topic) FROM rounded",
+    sql.with_(sql.WEIGHTS).rstrip() + """,
+top AS (SELECT arg_max(topic, (weight, -topic)) AS t FROM rounded GROUP BY paper_number),
+""" + sql.CORPUS + ",\n" + sql.LISTS + ",\n" + sql.TOKENS + """,
+words AS (SELECT raw.topic, term, n, row_number() OVER (PARTITION BY raw.topic ORDER BY n DESC, term) AS rank FROM (
+  SELECT lang AS topic, term, count(*) AS n FROM tokens JOIN documents ON doc_id = paper_number GROUP BY 1, 2) raw)
+SELECT 'doc_topics' AS report, cast(paper_number AS VARCHAR) AS key, cast(topic AS VARCHAR) AS item, cast(weight AS DOUBLE) AS value FROM rounded
+UNION ALL SELECT 'topic_distribution', cast(t AS VARCHAR), 'documents', cast(count(*) AS DOUBLE) FROM top GROUP BY t
+UNION ALL SELECT 'topic_keywords', topic, term, cast(rank AS DOUBLE) FROM words WHERE rank <= 15""",
 )
 def write_topic_reports(spark, sf_dir):
-    topics = inputs.doc_topics(spark, sf_dir)
+    """The three reports as they were written: topics of a fixed weight matrix, and words of the languages."""
+    topics, path = inputs.doc_topics(spark, sf_dir), scratch_path(spark, "reports")
     long = doc_topic_round(topics)
-    heaviest = long.groupBy("topic").agg(F.max("weight").alias("weight"))
-    reports = (long, topic_distribution(dominant_topic(topics)), heaviest)
-    return sinks.write_topic_reports(*reports, scratch_path(spark, "reports"))
+    languages = inputs.clusters(spark, sf_dir).withColumnRenamed("cluster", "topic")
+    counts = term_counts(inputs.tokens(spark, sf_dir).join(languages, "paper_number"), by=["topic"])
+    keywords = top_words_per_topic(counts.withColumnRenamed("n", "weight"))
+    sinks.write_topic_reports(long, topic_distribution(dominant_topic(topics)), keywords, path)
+    cells = {"doc_topics": ("paper_number", "topic", "weight"), "topic_keywords": ("topic", "term", "rank")}
+    parts = [
+        load_artifact(spark, f"{path}/{name}").select(
+            F.lit(name).alias("report"), F.col(key).cast("string").alias("key"), F.col(item).cast("string").alias("item"),
+            F.col(value).cast("double").alias("value"),
+        )
+        for name, (key, item, value) in cells.items()
+    ]
+    spread = load_artifact(spark, f"{path}/topic_distribution").select(
+        F.lit("topic_distribution").alias("report"), F.col("dominant_topic").cast("string").alias("key"),
+        F.lit("documents").alias("item"), F.col("documents").cast("double").alias("value"),
+    )
+    return parts[0].unionByName(spread).unionByName(parts[1])

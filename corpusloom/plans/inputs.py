@@ -5,13 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.operators.storage import broadcast_if_small, spread
+from corpusloom.operators.storage import spread
 from corpusloom.operators.text import clean_tokens, tokenize, vectoriser_tokens
 from corpusloom.sources.articles import flatten_articles
 from corpusloom.sources.labels import label_sheet
 
-ARTICLE_TURNS = 1000
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -44,7 +42,7 @@ def cleaned(spark, sf_dir, only: DataFrame | None = None) -> DataFrame:
     """Cleaned tokens, of the documents in `only` if given; those are picked before any text is touched."""
     texts = corpus(spark, sf_dir)
     if only is not None:
-        texts = texts.join(broadcast_if_small(only.select("paper_number")), "paper_number", "left_semi")
+        texts = texts.join(only.select("paper_number"), "paper_number", "left_semi")
     return clean_tokens(texts, "text").drop("text")
 
 
@@ -72,14 +70,13 @@ def doc_topics(spark, sf_dir) -> DataFrame:
 
 
 def article_turns(spark, sf_dir) -> DataFrame:
-    block = F.floor(F.col("turn") / ARTICLE_TURNS)
-    return table(spark, sf_dir, "conversations").withColumn("paper_id", F.concat_ws("-", "conv_id", block))
+    return table(spark, sf_dir, "conversations").withColumn("paper_id", F.col("conv_id").cast("string"))
 
 
 def nested_articles(spark, sf_dir) -> DataFrame:
     """Conversations as nested articles: system turns are the abstract, the others the body, user turns the keywords.
 
-    A conversation without end would not fit a row, so an article takes at most ARTICLE_TURNS of its turns.
+    One conversation is one article, and an article is one row, as it is one file in the input.
     """
     turns = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
     grouped = article_turns(spark, sf_dir).groupBy("paper_id").agg(turns.alias("turns"))
@@ -90,7 +87,7 @@ def nested_articles(spark, sf_dir) -> DataFrame:
     return grouped.select(
         "paper_id",
         F.struct(
-            F.substring(F.get("turns.text", F.lit(0)), 1, 60).alias("title"),
+            F.get("turns.text", F.lit(0)).alias("title"),
             F.transform("turns", author).alias("authors"),
         ).alias("metadata"),
         F.when(F.size(abstract) > 0, F.transform(abstract, lambda t: F.struct(t["text"].alias("text")))).alias("abstract"),

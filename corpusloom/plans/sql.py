@@ -117,9 +117,9 @@ norms AS (SELECT paper_number, sqrt(sum(w * w)) AS norm FROM cells GROUP BY pape
 tfidf AS (SELECT paper_number, term, round(w / norm, 6) AS weight FROM cells JOIN norms USING (paper_number))"""
 
 
-_PAPER = "conv_id || '-' || (turn // 1000)"
+_PAPER = "cast(conv_id AS VARCHAR)"
 ARTICLES = f"""articles AS (SELECT {_PAPER} AS paper_id,
-  left(arg_min(text, turn), 60) AS title,
+  arg_min(text, turn) AS title,
   CASE WHEN count(*) FILTER (role <> 'system') > 0 THEN string_agg(role || ' ' || turn, ', ' ORDER BY turn) ELSE '' END AS authors,
   coalesce(string_agg(text, ' ' ORDER BY turn) FILTER (role = 'system'), '') AS abstract,
   coalesce(string_agg(text, ' ' ORDER BY turn) FILTER (role <> 'system'), '') || ' '

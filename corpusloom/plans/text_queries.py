@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.operators import encode, features, text
+from corpusloom.operators.storage import settle
 from corpusloom.plans import inputs, sql
 from corpusloom.plans.registry import query
 
@@ -134,7 +135,7 @@ def vocabulary(spark, sf_dir):
     + "\nSELECT paper_number, term, cast(count(*) AS DOUBLE) AS n FROM seen JOIN vocab USING (term) GROUP BY paper_number, term",
 )
 def count_features(spark, sf_dir):
-    seen = inputs.vector_input(spark, sf_dir)
+    seen = settle(inputs.vector_input(spark, sf_dir))
     vocab = features.vocabulary(seen, max_features=100, min_df=2, max_df=0.95)
     return features.long_form(features.count_features(seen, vocab), vocab, "paper_number", out="n")
 
@@ -144,7 +145,7 @@ def count_features(spark, sf_dir):
     _SEEN_VOCAB + sql.vocab(1500) + ",\n" + sql.tfidf() + "\nSELECT paper_number, term, weight FROM tfidf",
 )
 def tfidf_features(spark, sf_dir):
-    seen = inputs.vector_input(spark, sf_dir)
+    seen = settle(inputs.vector_input(spark, sf_dir))
     vocab = features.vocabulary(seen, max_features=1500)
     cells = features.long_form(features.tfidf_features(seen, vocab), vocab, "paper_number")
     return cells.withColumn("weight", F.round("weight", 6))
@@ -161,7 +162,7 @@ grams AS (SELECT paper_number, term FROM places UNION ALL SELECT a.paper_number,
     + "\nSELECT paper_number, term, weight FROM tfidf",
 )
 def ngram_tfidf(spark, sf_dir):
-    vectors, vocab = features.ngram_tfidf(inputs.vector_input(spark, sf_dir), longest=2, max_features=1500)
+    vectors, vocab = features.ngram_tfidf(settle(inputs.vector_input(spark, sf_dir)), longest=2, max_features=1500)
     return features.long_form(vectors, vocab, "paper_number").withColumn("weight", F.round("weight", 6))
 
 

@@ -30,8 +30,11 @@ def label_sheet(sheet: DataFrame, number: str = "paper_number", label: str = "la
 
 
 def with_row_no(labels: DataFrame) -> DataFrame:
-    """Sheet position, 1-based because row 0 is the header."""
-    return with_dense_index(labels, [F.col("paper_number")], "_idx").select(
+    """Position in the sheet ordered by paper number, then label; 1-based because row 0 is the header.
+
+    A DataFrame has no order of its own, so the order of lines in a file plays no part.
+    """
+    return with_dense_index(labels, [F.col("paper_number"), F.col("label")], "_idx").select(
         *labels.columns, (F.col("_idx") + 1).alias("row_no")
     )
 

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators import evaluate, features, ranking, sampling, storage, text
+from corpusloom.operators import evaluate, features, ranking, review, sampling, storage, text
 from corpusloom.plans import inputs
 
 
@@ -76,10 +76,13 @@ def test_wide_scans_are_not_repartitioned(spark):
     assert "Exchange" not in plan(storage.spread(many, "id"))
 
 
-def test_small_side_is_counted(spark):
-    small = spark.range(10)
-    assert "hint" not in storage.broadcast_if_small(small, 5)._jdf.queryExecution().logical().toString().lower()
-    assert "hint" in storage.broadcast_if_small(small, 10)._jdf.queryExecution().logical().toString().lower()
+def test_no_job_and_no_single_task_behind_a_label_join(spark, sf_dir):
+    labels, scores = inputs.labels(spark, sf_dir), inputs.scores(spark, sf_dir)
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    joined = [review.join_features_labels(scores, labels), review.anti_join_labeled(scores, labels), sampling.except_labeled(scores, labels)]
+    assert len(tracker.getJobIdsForGroup(None)) == before
+    assert not any("SinglePartition" in plan(df) for df in joined)
 
 
 def test_checkpoint_folder_comes_from_the_session(spark):

@@ -58,13 +58,13 @@ def test_word_count_and_histogram(spark):
     assert [(b.bin, b.docs) for b in same] == [(0, 2)]
 
 
-def test_vocab_filter_small_and_large(spark, monkeypatch):
-    df = spark.createDataFrame([(1, ["a", "b", "a", "c"]), (2, ["z"]), (3, ["b"])], "id int, tokens array<string>")
-    vocab = spark.createDataFrame([("a",), ("b",)], "term string")
-    small = sorted(map(tuple, text.vocab_filter(df, vocab, "id").collect()))
-    assert small == [(1, ["a", "b", "a"]), (3, ["b"])]
-    monkeypatch.setattr(text.bounded_terms, "__defaults__", (1,))
-    assert sorted(map(tuple, text.vocab_filter(df, vocab, "id").collect())) == small
+def test_vocab_filter_small_and_large(spark):
+    rows = [(1, ["a", "b", "a", "c"]), (2, ["z"]), (3, ["b"]), (1, ["b"]), (4, []), (5, None)]
+    df = spark.createDataFrame(rows, "id int, tokens array<string>")
+    vocab = spark.createDataFrame([("a",), ("b",), ("b",)], "term string")
+    for literals in (10, 1):
+        got = sorted(map(tuple, text.vocab_filter(df, vocab, "id", literals=literals).collect()))
+        assert got == [(1, ["a", "b", "a"]), (1, ["b"]), (3, ["b"])]
 
 
 def test_word_frequencies_by_group(spark):
@@ -99,15 +99,25 @@ def test_ngrams(spark):
     assert got == {1: ["a", "b", "c", "a b", "b c", "a b c"], 2: ["a"]}
 
 
-def test_encoding(spark, monkeypatch):
+def test_encoding(spark):
     df = spark.createDataFrame([(1, ["x", "q"]), (2, ["x"] * 3), (3, ["x"] * 4)], "id int, tokens array<string>")
     vocab = spark.createDataFrame([("[PAD]", 0), ("[UNK]", 1), ("[CLS]", 2), ("[SEP]", 3), ("x", 9)], "term string, id int")
     want = {1: ([2, 9, 1, 3, 0], [1, 1, 1, 1, 0]), 2: ([2, 9, 9, 9, 3], [1, 1, 1, 1, 1])}
-    for limit in (500_000, 2):
-        monkeypatch.setattr(encode, "LOOKUP_TERMS", limit)
-        rows = encode.encode_tokens(df, vocab, "id", max_len=5).collect()
-        assert {r.id: (r.ids, r.mask) for r in rows} == want
-        assert all(r.segments == [0] * 5 for r in rows)
+    rows = encode.encode_tokens(df, vocab, "id", max_len=5).collect()
+    assert {r.id: (r.ids, r.mask) for r in rows} == want
+    assert all(r.segments == [0] * 5 for r in rows)
+
+
+def test_ids_do_not_depend_on_the_size_of_the_vocabulary(spark):
+    rows = [(1, ["x", "q"], "e"), (1, ["x"], "e"), (2, [], None), (3, None, "e"), (4, [None, "x"], "e")]
+    df = spark.createDataFrame(rows, "id int, tokens array<string>, extra string")
+    vocab = spark.createDataFrame([("x", 7), ("x", 5), ("y", 6)], "term string, id int")
+    want = sorted([(1, [5, 1, 0], "e"), (1, [5, 0, 0], "e"), (2, [0, 0, 0], None), (3, None, "e"), (4, [1, 5, 0], "e")], key=repr)
+    for terms in (10, 1):
+        got = encode.encode_token_ids(df, vocab, "id", max_len=3, lookup_terms=terms)
+        assert got.columns == ["id", "tokens", "extra", "ids"]
+        assert sorted([(r.id, r.ids, r.extra) for r in got.collect()], key=repr) == want
+        assert sorted([r.tokens for r in got.collect()], key=repr) == sorted([r[1] for r in rows], key=repr)
 
 
 def test_budget_edges(spark):
