@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators.ranking import with_dense_index
+from corpusloom.operators.storage import settle
 
 
 def join_features_labels(features: DataFrame, labels: DataFrame, id_col: str = "paper_number") -> DataFrame:
@@ -40,18 +41,31 @@ def review_batch(
     The middle is half the size of the full corpus applied to the unlabelled ranking, or with middle="centred" half
     of the unlabelled documents. The slices are concatenated: in a small corpus they overlap and repeat documents.
     """
-    ranked = rank_by_score(anti_join_labeled(scores.select(id_col, "score"), labeled, id_col), id_col)
-    # `ranked` reads a settled table, so counting it does not score the corpus again.
-    n_ranked = ranked.count()
-    centre = (scores.count() if middle == "reference" else n_ranked) // 2
-    slices = {
-        "low": (0, low),
-        "high": (n_ranked - high, n_ranked),
-        "mid_up": (centre, centre + mid),
-        "mid_down": (centre - mid, centre),
-    }
-    rank = F.col("rank")
-    hits = [
-        F.when((rank >= max(start, 0)) & (rank < end), F.lit(name)) for name, (start, end) in slices.items()
+    rows = settle(anti_join_labeled(scores.select(id_col, "score"), labeled, id_col))
+    n = rows.count()
+    centre = (scores.count() if middle == "reference" else n) // 2
+    up, down = [F.col("score"), F.col(id_col)], [F.desc("score"), F.desc(id_col)]
+    nth = lambda order: F.row_number().over(Window.orderBy(*order)).cast("bigint")  # noqa: E731  over the few rows of an end
+    ends = [
+        rows.orderBy(*up).limit(low).withColumn("rank", nth(up) - 1).withColumn("slice", F.lit("low")),
+        rows.orderBy(*down).limit(high).withColumn("rank", n - nth(down)).withColumn("slice", F.lit("high")),
     ]
-    return ranked.select(id_col, "score", "rank", F.explode(F.array_compact(F.array(*hits))).alias("slice"))
+    around = _ranked_between(rows, n, max(centre - mid, 0), min(centre + mid, n), id_col)
+    name = F.when(F.col("rank") >= centre, "mid_up").otherwise("mid_down")
+    return ends[0].unionByName(ends[1]).unionByName(around.withColumn("slice", name)).select(id_col, "score", "rank", "slice")
+
+
+def _ranked_between(rows: DataFrame, n: int, first: int, last: int, id_col: str) -> DataFrame:
+    """Rows of ranks first..last-1. Only scores near these ranks are ordered; approximate quantiles say which."""
+    spread, lower, upper, below = 0.005, None, None, 0
+    if first < last:
+        shares = [max(first / n - spread, 0.0), min(last / n + spread, 1.0)]
+        lower, upper = rows.approxQuantile("score", shares, spread / 2)
+        under = F.coalesce(F.col("score") < lower, F.lit(True))  # null scores come first
+        below, inside = rows.agg(F.count_if(under), F.count_if(F.col("score").between(lower, upper))).first()
+        if below <= first and below + inside >= last:
+            rows = rows.where(F.col("score").between(lower, upper))
+        else:
+            below = 0
+    ranked = rank_by_score(rows if first < last else rows.limit(0), id_col).withColumn("rank", F.col("rank") + below)
+    return ranked.where((F.col("rank") >= first) & (F.col("rank") < last))
