@@ -7,7 +7,7 @@ agrees with the probability Jaccard similarity as its probability. A shingle sto
 later than what all registers have.
 
 Documents with the same words are one node. Bands of registers propose links: in each bucket of a band all nodes are
-compared with the lowest one, and, once the links found so far are joined to components, with the nodes of other
+compared with the one that shares most buckets with others, as an original does with its copies, and, once the links found so far are joined to components, with the nodes of other
 components in the bucket. So every two nodes in a bucket are in one component in the end, or have been compared, without
 listing the pairs inside large groups. Proposed links are verified on the shingles themselves.
 """
@@ -207,9 +207,14 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", id_col: str = "d
     rows = settle(_sketched(texts))
     nodes = settle(rows.groupBy("node").agg(F.min("id").alias("least_id"), F.first(F.struct("id", "digest", "bands", "sketch")).alias("one")))
     banded = nodes.select("node", F.explode("one.bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.min("node").alias("low"), F.count("*").alias("n")).where("n > 1")
-    members = settle(banded.join(buckets.select("band", "low"), "band"))
-    met = members.select("node").distinct()
+    buckets = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    shared = settle(banded.join(buckets, "band"))
+    # what others are copies of shares buckets with most of them, so it is the one to compare with
+    shares = settle(shared.groupBy("node").agg(F.sum("n").alias("shares")))
+    ranked = shared.join(shares, "node")
+    middle = ranked.groupBy("band").agg(F.max(F.struct("shares", "node")).alias("top")).select("band", F.col("top.node").alias("centre"))
+    members = settle(shared.select("band", "node").join(middle, "band"))
+    met = shares.select("node")
     known = nodes.join(met, "node").select("node", "one.id", "one.digest", "one.sketch")
     sketch = settle(known)
     own = sketch.select("node", F.col("id").alias("_id"), F.col("digest").alias("_digest"))
@@ -221,7 +226,7 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", id_col: str = "d
         both = _with(alike, body, "text").sortWithinPartitions("a")
         return settle(_verified(both, least))
 
-    stars = settle(members.where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct())
+    stars = settle(members.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct())
     found = links(stars)
     joined = connected_components(found)
     placed = members.join(joined, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
@@ -231,7 +236,8 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", id_col: str = "d
     mixed = placed.join(most.select("band", F.col("most.component").alias("main")), "band")
     odd = mixed.where("component <> main").select("band", F.col("node").alias("x"), F.col("component").alias("cx"))
     crossing = odd.join(placed, "band").where("cx <> component").select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-    more = links(crossing.join(stars, ["a", "b"], "left_anti"))
+    seen = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = links(crossing.join(seen, ["a", "b"], "left_anti"))
     joined = connected_components(found.unionByName(more))
     classes = nodes.select("node", "least_id").join(joined, "node")
     lowest = classes.groupBy("component").agg(F.min("least_id").alias("class_id"))
