@@ -27,6 +27,7 @@ WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 TRAIN_DOCS = {1: 600, 0: 2_400}  # bound of the labelled sample by label, with TRAIN_CHARS per document
 TRAIN_CHARS = 6_000
 BUCKETS = 1 << 18
+PREFIXES, SUFFIXES = (3, 4, 5), (3, 4)
 LEAST_DOCS, LEAST_SHARE, LEAST_ODDS = 3, 0.015, 4.0  # a telling feature: toxic documents with it, log of the odds ratio
 ROUNDS = 40
 NOTICEABLE, SPAN = 0.1, 0.5
@@ -37,8 +38,14 @@ TOKENS_AT_ONCE = 500_000
 def word_features(word: str) -> list[int]:
     """Numbers of the word itself and of its beginnings and ends; the weights are kept by these numbers mod BUCKETS."""
     word = word.lower()
-    parts = ["=" + word, *(f"{k}<{word[:k]}" for k in (3, 4, 5) if len(word) > k), *(f"{k}>{word[-k:]}" for k in (3, 4) if len(word) > k)]
-    return [zlib.crc32(p.encode()) for p in parts]
+    n, out = len(word), [zlib.crc32(word.encode())]
+    for k in PREFIXES:
+        if n > k:
+            out.append(zlib.crc32(word[:k].encode(), k))
+    for k in SUFFIXES:
+        if n > k:
+            out.append(zlib.crc32(word[-k:].encode(), -k & 0xFF))
+    return out
 
 
 @dataclass
@@ -120,10 +127,10 @@ def train_tagger(
 class _Scores(Remembered):
     def __init__(self, weights: np.ndarray):
         super().__init__()
-        self.lead = weights[:, TOXIC] - weights[:, CLEAN]
+        self.lead = (weights[:, TOXIC] - weights[:, CLEAN]).tolist()
 
     def compute(self, word: str) -> float:
-        return float(self.lead[[f % BUCKETS for f in word_features(word)]].sum())
+        return sum([self.lead[f % BUCKETS] for f in word_features(word)])
 
 
 COLUMNS = "score double, predicted int, toxic_spans array<struct<start:int,end:int,probability:double>>"
@@ -151,8 +158,7 @@ def score_documents(docs: DataFrame, tagger: Tagger, text: str = "text") -> Data
                 words = [WORD.findall(t or "") for t in group]
                 lengths = np.array([len(w) for w in words], np.int64)
                 lead = np.fromiter((known[w] for ws in words for w in ws), np.float64, lengths.sum())
-                unary = np.stack([np.zeros(len(lead)), lead], axis=1)
-                toxic = crf.marginals(unary, lengths, tagger.field.moves)[:, TOXIC]
+                toxic = crf.marginals_of_two(lead, lengths, tagger.field.moves)
                 scores += tagger.score(evidence(toxic, lengths)).tolist()
                 ends = np.cumsum(lengths)
                 for t, a, b in zip(group, ends - lengths, ends, strict=True):

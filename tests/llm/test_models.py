@@ -29,6 +29,8 @@ def test_field_against_all_label_sequences():
     lengths = np.array([3, 0, 1, 5, 2])
     scores, moves = rng.normal(size=(11, 2)), rng.normal(size=(2, 2))
     shares, best = crf.marginals(scores, lengths, moves), crf.viterbi(scores, lengths, moves)
+    assert np.allclose(crf.marginals_of_two(scores[:, 1] - scores[:, 0], lengths, moves), shares[:, 1])
+    assert np.allclose(crf.marginals_of_two(np.array([1e9, -1e9, 1e9]), np.array([3]), moves), [1, 0, 1])
     at = 0
     for n in lengths:
         own = scores[at : at + n]
