@@ -4,6 +4,11 @@ A line is hashed, and a rolling hash over the hashes of a line and the one befor
 So a border depends on two lines only, and text put in or taken out elsewhere does not shift it. Chunks of several
 lines with words that occur more than once among all documents are compared byte for byte; the first one, by document
 and place, stays, and the others are removed.
+
+Short chunks are many: one in three is a single line, which is never removed. With `least` a border takes effect only
+once its chunk holds so many lines with a word, and every second line may be one. What is left at the end of a text is compared along with the chunk
+before it; a chunk never equals such a pair, as its start alone says where it ends. Lines of a passage before its first
+border and after its last one share chunks with other text and stay.
 """
 
 from __future__ import annotations
@@ -22,6 +27,7 @@ from corpusloom.operators.storage import settle
 WORD = re.compile(r"[^\x20\x09-\x0D]")
 WINDOW_LINES, FACTOR, DIVISOR = 2, 31, 3
 LEAST_LINES = 2  # with a word
+JOINED_DIVISOR = 2  # where short chunks are joined: again three lines on average
 SALTS = 16
 
 
@@ -29,33 +35,54 @@ def line_hash(line: str) -> int:
     return int.from_bytes(hashlib.md5(line.encode(), usedforsecurity=False).digest()[:4], "big")
 
 
-def chunk_ends(lines: list[str]) -> list[int]:
+def chunk_ends(lines: list[str], divisor: int = DIVISOR) -> list[int]:
     """For each chunk the number of the line after its last one."""
     rolling, recent, ends = 0, [0] * WINDOW_LINES, []
     for i, line in enumerate(lines):
         new = line_hash(line)
         rolling = (rolling - recent.pop(0) * FACTOR ** (WINDOW_LINES - 1)) * FACTOR + new
         recent.append(new)
-        if rolling % DIVISOR == 0:
+        if rolling % divisor == 0:
             ends.append(i + 1)
     return ends if ends and ends[-1] == len(lines) else [*ends, len(lines)]
 
 
-def chunks(text: str) -> list[list[str]]:
+def n_worded(lines: list[str]) -> int:
+    return sum(WORD.search(line) is not None for line in lines)
+
+
+def joined_ends(lines: list[str], ends: list[int], least: int) -> list[int]:
+    """The ends behind `least` lines with a word since the one before, and the end of the text."""
+    out, at, n = [], 0, 0
+    for end in ends:
+        n += n_worded(lines[at:end])
+        at = end
+        if n >= least or end == len(lines):
+            out.append(end)
+            n = 0
+    return out
+
+
+def chunks(text: str, least: int = 0) -> list[list[str]]:
     lines = text.split("\n")
-    ends = chunk_ends(lines)
+    ends = joined_ends(lines, chunk_ends(lines, JOINED_DIVISOR), least) if least else chunk_ends(lines)
     return [lines[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
+def compared(cut: list[list[str]], at: int, least: int) -> list[str]:
+    """The lines that stand for a chunk: its own, and those of the chunk before a short last one."""
+    return cut[at - 1] + cut[at] if 0 < at == len(cut) - 1 and n_worded(cut[at]) < least else cut[at]
+
+
 def comparable(chunk: list[str]) -> bool:
-    return len(chunk) >= LEAST_LINES and sum(WORD.search(line) is not None for line in chunk) >= LEAST_LINES
+    return len(chunk) >= LEAST_LINES and n_worded(chunk) >= LEAST_LINES
 
 
 def _field(docs: DataFrame, name: str, like: str) -> T.StructField:
     return T.StructField(name, docs.schema[like].dataType)
 
 
-def _chunk_rows(docs: DataFrame) -> DataFrame:
+def _chunk_rows(docs: DataFrame, least: int) -> DataFrame:
     """(id, digest, chunk, hash) of every chunk that could be removed."""
     schema = T.StructType([_field(docs, "id", "id"), *T._parse_datatype_string("digest long, chunk int, hash binary").fields])
 
@@ -63,8 +90,9 @@ def _chunk_rows(docs: DataFrame) -> DataFrame:
         for batch in rows:
             at, number, hashes = [], [], []
             for i, text in enumerate(batch.column("text").to_pylist()):
-                for k, chunk in enumerate(chunks(text or "")):
-                    if comparable(chunk):
+                cut = chunks(text or "", least)
+                for k in range(len(cut)):
+                    if comparable(chunk := compared(cut, k, least)):
                         at.append(i)
                         number.append(k)
                         hashes.append(hashlib.md5("\n".join(chunk).encode(), usedforsecurity=False).digest())
@@ -75,7 +103,7 @@ def _chunk_rows(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def _chunk_texts(docs: DataFrame) -> DataFrame:
+def _chunk_texts(docs: DataFrame, least: int) -> DataFrame:
     """(id, digest, chunk, lines) of the chunks named in each row."""
     schema = T.StructType([_field(docs, "id", "id"), *T._parse_datatype_string("digest long, chunk int, lines string").fields])
 
@@ -83,11 +111,11 @@ def _chunk_texts(docs: DataFrame) -> DataFrame:
         for batch in rows:
             at, number, lines = [], [], []
             for i, (text, wanted) in enumerate(zip(batch.column("text").to_pylist(), batch.column("chunks").to_pylist(), strict=True)):
-                cut = chunks(text or "")
+                cut = chunks(text or "", least)
                 for k in wanted:
                     at.append(i)
                     number.append(k)
-                    lines.append("\n".join(cut[k]))
+                    lines.append("\n".join(compared(cut, k, least)))
             at = pa.array(at, pa.int64())
             columns = [batch.column("id").take(at), batch.column("digest").take(at), pa.array(number, pa.int32()), pa.array(lines, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
@@ -104,30 +132,30 @@ def _by_document(places: DataFrame) -> DataFrame:
 _SAME = lambda: F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
 
 
-def repeated_chunks(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+def repeated_chunks(docs: DataFrame, text: str = "text", id_col: str = "doc_id", least: int = 0) -> DataFrame:
     """(_id, _digest, chunks): numbers of the chunks to remove, by document id and hash of its text."""
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("digest"), F.col(text).alias("text"))
-    rows = settle(_chunk_rows(texts))
+    rows = settle(_chunk_rows(texts, least))
     repeated = rows.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
     # a chunk may stand in a third of all documents: its hash is salted
     every = repeated.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("id", "digest", "chunk"), F.lit(SALTS)))
     places = settle(salted.join(every, ["hash", "salt"], "left_semi").select("id", "digest", "chunk").distinct())
-    found = _chunk_texts(texts.join(_by_document(places), _SAME()).select("id", "digest", "text", "chunks"))
+    found = _chunk_texts(texts.join(_by_document(places), _SAME()).select("id", "digest", "text", "chunks"), least)
     firsts = found.groupBy("lines").agg(F.min(F.struct("id", "digest", "chunk")).alias("first")).select("first.*")
     firsts = firsts.select(*[F.col(c).alias(f"f_{c}") for c in firsts.columns])
     same = F.col("id").eqNullSafe(F.col("f_id")) & (F.col("digest") == F.col("f_digest")) & (F.col("chunk") == F.col("f_chunk"))
     return settle(_by_document(places.join(firsts, same, "left_anti")))
 
 
-def dedup_lines(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+def dedup_lines(docs: DataFrame, text: str = "text", id_col: str = "doc_id", least: int = 0) -> DataFrame:
     """Replaces every text by what is left of it, and adds n_lines and n_removed_lines.
 
     Rows that agree in id and text are one document and get one result. A null text stays null and has 0 lines; an empty
     one has one empty line. A document whose lines are all removed keeps an empty text. Chunks with fewer than two lines
-    with a word are never removed. Further columns stay; those named like a new one are replaced.
+    with a word are never removed; `least` of two leaves none but short texts. Further columns stay; those named like a new one are replaced.
     """
-    removed = repeated_chunks(docs, text, id_col)
+    removed = repeated_chunks(docs, text, id_col, least)
     kept = [f for f in docs.schema.fields if f.name not in ("n_lines", "n_removed_lines")]
     fields = [T.StructField(f.name, T.StringType()) if f.name == text else f for f in kept]
     schema = T.StructType([*fields, *T._parse_datatype_string("n_lines long, n_removed_lines long").fields])
@@ -142,7 +170,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
             out, totals, gone = [], [], []
             for body, drop in zip(batch.column(text_at).to_pylist(), batch.column("chunks").to_pylist(), strict=True):
                 drop = set(drop or ())
-                cut = chunks(body) if drop else []
+                cut = chunks(body, least) if drop else []
                 lost = sum(len(c) for k, c in enumerate(cut) if k in drop)
                 gone.append(lost)
                 totals.append(0 if body is None else body.count("\n") + 1)

@@ -148,6 +148,36 @@ def test_op9(spark, sf_dir, docs):
     assert dict(zip(got["doc_id"], got["text"], strict=True)) == plain.without_chunks(docs.itertuples(index=False))
 
 
+def test_line_passages_are_removed_whole(spark):
+    rng = random.Random(5)
+    line = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    passages = [[line(60) for _ in range(rng.randint(6, 12))] for _ in range(20)]
+    texts = []
+    for d in range(120):
+        parts = [[line(8) for _ in range(rng.randint(1, 4))], passages[d % 20], [line(8)] * (d % 3 > 0)]
+        texts.append("\n".join(x for p in parts for x in p))
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.text or "").split("\n") for r in line_chunks.dedup_lines(table, least=2).collect()}
+    left = collections.Counter(x for t in got.values() for x in t)
+    every = collections.Counter(x for t in texts for x in t.split("\n"))
+    # without chunks: lines that stand in a repeated run of lines, but for one copy of each
+    runs = collections.Counter(p for t in texts for p in zip(t.split("\n"), t.split("\n")[1:], strict=False))
+    repeated = {x for p, n in runs.items() if n > 1 for x in p}
+    surplus, lost = sum(every[x] - 1 for x in repeated), sum(every[x] - left[x] for x in repeated)
+    inner = {x for p in passages for x in p[3:-3]}
+    assert all(left[x] for x in every) and all(left[x] == every[x] for x in every.keys() - repeated)
+    assert lost >= 0.6 * surplus and max(left[x] for x in inner) < 6  # no inner line stays in every copy
+
+
+def test_last_line_is_compared_with_the_chunk_before():
+    for seed in range(40):
+        rng = random.Random(seed)
+        cut = line_chunks.chunks("\n".join(f"line {rng.random()}" for _ in range(30)), 2)
+        assert all(line_chunks.n_worded(c) >= 2 for c in cut[:-1])
+        last = line_chunks.compared(cut, len(cut) - 1, 2)
+        assert last == (cut[-1] if len(cut[-1]) > 1 else cut[-2] + cut[-1])
+
+
 def test_suffix_list_is_sorted_and_its_transform_right():
     rng = random.Random(0)
     for _ in range(60):
