@@ -176,6 +176,17 @@ def test_op7(spark, sf_dir, docs):
     assert got.loc[held, "score"].sum() / got.loc[held, "n_tokens"].sum() > -6
 
 
+def test_every_training_document_takes_part_in_the_fit(spark):
+    texts = [t for t in (f"one two three {i} four five six" for i in range(100)) if zlib.crc32(t.encode()) % 16]
+    classes = attention.id_classes(np.ones(300_000))
+    start = attention.flat(attention.fresh_weights(np.full(attention.CLASSES, 1 / attention.CLASSES)))
+    for held, same in ((False, False), (True, True)):
+        df = spark.createDataFrame([(i, t, held) for i, t in enumerate(texts)], "id long, text string, held_out boolean").coalesce(1)
+        blocks = lm_scoring._blocks(df, lm_scoring.BYTE_BPE)
+        got = lm_scoring._averaged(blocks, spark.sparkContext.broadcast(classes), start)
+        assert np.array_equal(got, start) == same
+
+
 def test_lm_scores_of_odd_rows(spark):
     rows = [(1, None, False), (1, "", True), (2, "A\tb  a\n", False), (2, "A\tb  a\n", False), (3, "İ ß new", True), (None, "b", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, mark boolean").repartition(2)
