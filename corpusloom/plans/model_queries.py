@@ -14,9 +14,7 @@ from corpusloom.operators.storage import scratch_path, settle
 from corpusloom.plans import inputs, sql
 from corpusloom.plans.registry import query
 
-# Searches inside other jobs go over the linear entries: a full grid for each of them is the same work 42/7 times.
-LINEAR_GRID = [e for e in classify.FULL_GRID if e["kernel"] == "linear"]
-CURVE_STEPS, CURVE_REPEATS = 10, 2  # 40 repeats are the default of the operator
+CURVE_STEPS, CURVE_REPEATS = 10, 40
 LDA_KS, LDA_DECAYS, LDA_FOLDS = [10, 15, 20, 25, 30], [0.5, 0.7, 0.9], 5
 SWEEP_KS = list(range(20, 106, 5))
 GMM_KS, GMM_DIMS = list(range(2, 31)), 4
@@ -107,7 +105,7 @@ _TEST = "test AS (SELECT * FROM sheet ORDER BY md5('test:' || paper_number), pap
 )
 def holdout_evaluation(spark, sf_dir):
     labels, test, train = _split(spark, sf_dir, 200)
-    found = classify.holdout_evaluation(tfidf(spark, sf_dir, only=labels), train, test, LINEAR_GRID)[0]
+    found = classify.holdout_evaluation(tfidf(spark, sf_dir, only=labels), train, test, classify.FULL_GRID)[0]
     in_range = F.greatest("accuracy", "precision", "recall", "f1") <= 1
     return found.select("n", (F.col("tp") + F.col("fn")).alias("positives"), (F.col("fp") + F.col("tn")).alias("negatives"), in_range.alias("in_range"))
 
@@ -119,7 +117,7 @@ def holdout_evaluation(spark, sf_dir):
 )
 def active_learning_round(spark, sf_dir):
     labels = settle(inputs.labels(spark, sf_dir))
-    _, picked = classify.active_learning_round(settle(tfidf(spark, sf_dir)), labels, inputs.metadata(spark, sf_dir), LINEAR_GRID)
+    _, picked = classify.active_learning_round(settle(tfidf(spark, sf_dir)), labels, inputs.metadata(spark, sf_dir), classify.FULL_GRID)
     marked = picked.drop("label").join(labels.select("paper_number", "label"), "paper_number", "left")
     return marked.groupBy("slice").agg(
         F.count("*").alias("n"), F.min("rank").alias("first"), F.max("rank").alias("last"), F.every(F.col("label").isNull()).alias("unlabelled")
@@ -151,10 +149,10 @@ def learning_curve(spark, sf_dir):
     return _curve(spark, sf_dir, steps=CURVE_STEPS, repeats=CURVE_REPEATS)
 
 
-@query("learning_curve_grid", _curve_sql(1, 1))
+@query("learning_curve_grid", _curve_sql(CURVE_STEPS, CURVE_REPEATS))
 def learning_curve_grid(spark, sf_dir):
-    # one growing step; the full curve is 440 searches
-    return _curve(spark, sf_dir, steps=1, repeats=1, grid=LINEAR_GRID)
+    # 440 searches of 210 fits and a refit each
+    return _curve(spark, sf_dir, steps=CURVE_STEPS, repeats=CURVE_REPEATS, grid=classify.FULL_GRID)
 
 
 @query(

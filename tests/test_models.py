@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators import classify, clusters, curves, topics
 from corpusloom.operators.evaluate import confusion_metrics, roc_curve
 from corpusloom.operators.features import Vocabulary
+from corpusloom.plans import model_queries
 
 GRID = [{"kernel": "linear", "C": 0.01}, {"kernel": "linear", "C": 10.0}]
 
@@ -37,6 +38,22 @@ def test_planted_signal(spark, separable):
             assert scored.where((F.col("score") > 0) != (F.col("prediction") == 1)).count() == 0
 
 
+def test_registered_searches_and_curves_are_whole(spark, monkeypatch):
+    seen = {}
+    call = lambda name, at: lambda *args, **options: seen.update({name: (args[at:], options)}) or 1 / 0
+    monkeypatch.setattr(classify, "holdout_evaluation", call("holdout_evaluation", 3))
+    monkeypatch.setattr(classify, "active_learning_round", call("active_learning_round", 3))
+    monkeypatch.setattr(model_queries, "tfidf", lambda *args, **options: spark.range(1))
+    for name in ("holdout_evaluation", "active_learning_round", "learning_curve", "learning_curve_grid"):
+        monkeypatch.setattr(curves, "learning_curve", call(name, 3))
+        with pytest.raises(ZeroDivisionError):
+            getattr(model_queries, name)(spark, "/root/testdata/sf0.001")
+    assert len(classify.FULL_GRID) == 42
+    assert seen["holdout_evaluation"] == seen["active_learning_round"] == ((classify.FULL_GRID,), {})
+    assert seen["learning_curve"] == ((), {"steps": 10, "repeats": 40})
+    assert seen["learning_curve_grid"] == ((), {"steps": 10, "repeats": 40, "grid": classify.FULL_GRID})
+
+
 def test_class_weights(separable):
     assert classify.class_weights(separable, "count")[1] == 90.0
     balanced = classify.class_weights(separable, "balanced")
