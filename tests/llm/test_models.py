@@ -134,6 +134,19 @@ def test_windows_score_every_place_once():
         assert read[owner == i][scored[owner == i]].tolist() == before
 
 
+def test_held_out_score_gains_from_longer_context():
+    assert attention.LENGTH >= 2 * attention.FRESH  # a scored place reads half a window before it, or all there is
+    rng = np.random.default_rng(4)
+    text = lambda: np.repeat(rng.integers(0, 100, 2), 50)[rng.permutation(100)]
+    targets, lengths = np.concatenate([text() for _ in range(300)]), np.full(300, 100)
+    start = attention.fresh_weights(np.full(attention.CLASSES, 1 / attention.CLASSES))
+    model = attention.fit(start, *attention.windows(targets, lengths)[:3], 400)
+    read, wanted, scored, _ = attention.windows(np.concatenate([text() for _ in range(50)]), np.full(50, 100))
+    near = np.flatnonzero(scored[1])[0]  # the second window's first scored place, which reads the places before it
+    p = attention.log_probabilities(model, read, wanted)
+    assert near >= 32 and p[1::3, near:].mean() > p[0::3, :6].mean() + 0.1
+
+
 def test_attention_looks_back_only_and_its_gradient_is_right():
     rng = np.random.default_rng(0)
     weights = attention.fresh_weights(np.full(attention.CLASSES, 1 / attention.CLASSES))
