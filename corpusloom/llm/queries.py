@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import column_suffix, decontaminate, line_chunks, line_quality, lm_scoring, prob_minhash, sum_of_squares, token_counts, token_files, toxic_spans
+from corpusloom.llm import column_suffix, conversation_repair, decontaminate, line_chunks, line_quality, lm_scoring, prob_minhash, sum_of_squares, token_counts, token_files, toxic_spans
 from corpusloom.operators.storage import scratch_path
 from corpusloom.plans.inputs import table
 from corpusloom.plans.registry import query
@@ -98,3 +98,9 @@ def op7(spark, sf_dir):
     """Log probabilities of whole texts; every seventh of the ids, by their checksum, is held out from training."""
     held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
     return lm_scoring.score_texts(documents(spark, sf_dir), held_out).withColumnRenamed("id", "doc_id")
+
+
+@query("op11_conversation_repair", conversation_repair.ORACLE_SQL)
+def op11(spark, sf_dir):
+    """Damage the conversations at known places and report the cheapest repair of each."""
+    return conversation_repair.damage_report(table(spark, sf_dir, "conversations"))
