@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import column_suffix, conversation_repair, decontaminate, line_chunks, line_quality, lm_scoring, prob_minhash, sum_of_squares, token_counts, token_files, toxic_spans
+from corpusloom.llm import column_suffix, conversation_repair, decontaminate, line_chunks, line_quality, lm_scoring, prob_minhash, shallot_clusters, sum_of_squares, token_counts, token_files, toxic_spans
 from corpusloom.operators.storage import scratch_path
 from corpusloom.plans.inputs import table
 from corpusloom.plans.registry import query
@@ -104,3 +104,10 @@ def op7(spark, sf_dir):
 def op11(spark, sf_dir):
     """Damage the conversations at known places and report the cheapest repair of each."""
     return conversation_repair.damage_report(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_shallot_clusters", shallot_clusters.ORACLE_SQL)
+def op13(spark, sf_dir):
+    """Cluster the embeddings and digest the clusters."""
+    placed, points = shallot_clusters.cluster_vectors(table(spark, sf_dir, "embeddings"))
+    return shallot_clusters.with_inertia(placed, points).withColumnRenamed("id", "vec_id")
