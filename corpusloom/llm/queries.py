@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import column_suffix, conversation_repair, decontaminate, line_chunks, line_quality, lm_scoring, prob_minhash, shallot_clusters, sum_of_squares, token_counts, token_files, toxic_spans
+from corpusloom.llm import column_suffix, conversation_repair, cross_parsing, decontaminate, line_chunks, line_quality, lm_scoring, prob_minhash, shallot_clusters, sum_of_squares, token_counts, token_files, toxic_spans
 from corpusloom.operators.storage import scratch_path
 from corpusloom.plans.inputs import table
 from corpusloom.plans.registry import query
@@ -111,3 +111,12 @@ def op13(spark, sf_dir):
     """Cluster the embeddings and digest the clusters."""
     placed, points = shallot_clusters.cluster_vectors(table(spark, sf_dir, "embeddings"))
     return shallot_clusters.with_inertia(placed, points).withColumnRenamed("id", "vec_id")
+
+
+@query("op12_cross_parsing")
+def op12(spark, sf_dir):
+    """The language of whole texts; every fifth of the ids, by their checksum, is held out from learning."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    languages = cross_parsing.train_languages(docs.where(~cross_parsing.fifth()))
+    found = cross_parsing.identify_languages(docs.select("doc_id", "text"), languages)
+    return found.select("doc_id", cross_parsing.fifth().alias("held_out"), "lang_pred", "score", "bits")
