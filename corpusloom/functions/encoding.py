@@ -60,22 +60,75 @@ def basic_words(chunk: str) -> list[str]:
     return words + [current] * bool(current)
 
 
-def word_pieces(word: str, vocab, unknown: str = "[UNK]", longest: int = 200) -> list[str]:
+class PieceTrie:
+    """Longest-match splitting in one pass over a word (Song et al., 2021).
+
+    One trie holds the pieces that may start a word, one those that may go on in it, without their ##. Every node knows
+    which pieces are certain once no child fits the next character, and the node of the second trie that stands for the
+    characters left over. So a character is never read again.
+    """
+
+    def __init__(self, vocab):
+        self.children: list[dict[str, int]] = [{}, {}]
+        self.piece: list[str | None] = [None, None]
+        for term in vocab:
+            self._add(0, term, term)
+            if term.startswith("##") and len(term) > 2:
+                self._add(1, term[2:], term)
+        self.back: list[int] = [-1] * len(self.children)
+        self.certain: list[tuple[str, ...]] = [()] * len(self.children)
+        level = [(root, ch, node) for root in (0, 1) for ch, node in self.children[root].items()]
+        while level:
+            for parent, ch, node in level:
+                self._link(parent, ch, node)
+            level = [(node, ch, child) for _, _, node in level for ch, child in self.children[node].items()]
+
+    def _add(self, root: int, text: str, piece: str) -> None:
+        node = root
+        for ch in text:
+            if ch not in self.children[node]:
+                self.children[node][ch] = len(self.children)
+                self.children.append({})
+                self.piece.append(None)
+            node = self.children[node][ch]
+        if text:
+            self.piece[node] = piece
+
+    def _link(self, parent: int, ch: str, node: int) -> None:
+        if self.piece[node] is not None:
+            self.back[node], self.certain[node] = 1, (self.piece[node],)
+            return
+        found, at = self.certain[parent], self.back[parent]
+        while at >= 0 and ch not in self.children[at]:
+            found, at = found + self.certain[at], self.back[at]
+        if at >= 0:
+            self.back[node], self.certain[node] = self.children[at][ch], found
+
+    def split(self, word: str) -> list[str] | None:
+        """The pieces of a word, or None if it can't be put together."""
+        out: list[str] = []
+        node = 0
+        for ch in word:
+            while ch not in self.children[node]:
+                if self.back[node] < 0:
+                    return None
+                out += self.certain[node]
+                node = self.back[node]
+            node = self.children[node][ch]
+        while node > 1:
+            if self.back[node] < 0:
+                return None
+            out += self.certain[node]
+            node = self.back[node]
+        return out
+
+
+def word_pieces(word: str, trie: PieceTrie, unknown: str = "[UNK]", longest: int = 200) -> list[str]:
     """Greedy longest-match split into vocabulary pieces; inner pieces carry a leading ##.
 
     A word of more than `longest` characters is unknown as a whole: that is the sub-word tokenizer's own rule."""
-    pieces, start = [], 0
-    if len(word) > longest:
-        return [unknown]
-    while start < len(word):
-        mark = "##" if start else ""
-        ends = (e for e in range(len(word), start, -1) if mark + word[start:e] in vocab)
-        end = next(ends, None)
-        if end is None:
-            return [unknown]
-        pieces.append(mark + word[start:end])
-        start = end
-    return pieces
+    pieces = trie.split(word) if len(word) <= longest else None
+    return [unknown] if pieces is None else pieces
 
 
 def word_piece_udf(sent):
@@ -83,9 +136,9 @@ def word_piece_udf(sent):
 
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def pieces(chunks: pa.Array) -> pa.Array:
-        vocab = _built(sent, frozenset)
+        trie = _built(sent, PieceTrie)
         words = chunks.flatten().dictionary_encode()
-        split = [[p for w in basic_words(c) for p in word_pieces(w, vocab)] for c in words.dictionary.to_pylist()]
+        split = [[p for w in basic_words(c) for p in word_pieces(w, trie)] for c in words.dictionary.to_pylist()]
         per_word = pa.array(split, pa.list_(pa.string())).take(words.indices)
         lengths = per_word.value_lengths().to_numpy(zero_copy_only=False)
         ends = chunks.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).cumsum()

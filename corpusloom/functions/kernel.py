@@ -1,8 +1,15 @@
-"""Random Fourier features (Rahimi and Recht, 2007): a linear model on them approximates an RBF kernel."""
+"""Finite maps of an RBF kernel: a linear model on them approximates a kernel machine.
+
+* `fourier`: cosines of random projections (Rahimi and Recht, 2007), whatever the data.
+* `landmarks`: kernel values with a sample of the rows, turned so that the kernel between landmarks is exact (Nystroem map,
+  Williams and Seeger, 2001).
+"""
 
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -10,9 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _CHUNK = 256
+_SMALL = 1e-8  # directions of the landmark kernel below this share of the largest are noise
 
 
-@functools.lru_cache(maxsize=4)
+@functools.lru_cache(maxsize=8)
 def _drawn(dim: int, n_features: int, gamma: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Weights and shifts, drawn once per worker."""
     rng = np.random.default_rng(seed)
@@ -20,25 +28,95 @@ def _drawn(dim: int, n_features: int, gamma: float, seed: int) -> tuple[np.ndarr
     return weights, rng.uniform(0.0, 2.0 * np.pi, size=n_features)
 
 
-def fourier_udf(dim: int, n_features: int, gamma: float, seed: int):
-    """UDF: (indices, values) of a sparse vector -> n_features cosine features. Weights follow from the seed."""
+def fourier_map(dense: np.ndarray, dim: int, n_features: int, gamma: float, seed: int) -> np.ndarray:
+    weights, shift = _drawn(dim, n_features, gamma, seed)
+    return np.cos(dense @ weights + shift) * np.sqrt(2.0 / n_features)
+
+
+def rbf(a: np.ndarray, b: np.ndarray, gamma: float) -> np.ndarray:
+    """Kernel of all rows of a with all rows of b."""
+    gap = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None] - 2 * (a @ b.T)
+    return np.exp(-gamma * np.maximum(gap, 0))
+
+
+@dataclass(frozen=True, eq=False)
+class KernelMap:
+    """From vectors of `dim` numbers to vectors of `width`."""
+
+    gamma: float
+    dim: int
+    width: int
+    seed: int = 0
+    landmarks: np.ndarray | None = field(default=None, repr=False)
+    turn: np.ndarray | None = field(default=None, repr=False)
+
+    @classmethod
+    def fourier(cls, gamma: float, dim: int, n_features: int, seed: int) -> KernelMap:
+        return cls(gamma, dim, n_features, seed)
+
+    @classmethod
+    def from_landmarks(cls, gamma: float, landmarks: np.ndarray) -> KernelMap:
+        """`landmarks` are distinct rows; their kernel's directions become the features."""
+        values, vectors = np.linalg.eigh(rbf(landmarks, landmarks, gamma))
+        kept = values > _SMALL * values.max(initial=0)
+        turn = vectors[:, kept] / np.sqrt(values[kept])
+        return cls(gamma, landmarks.shape[1], int(kept.sum()), 0, landmarks, turn)
+
+    def apply(self, dense: np.ndarray) -> np.ndarray:
+        if self.landmarks is None:
+            return fourier_map(dense, self.dim, self.width, self.gamma, self.seed)
+        return rbf(dense, self.landmarks, self.gamma) @ self.turn
+
+    def error(self, dense: np.ndarray) -> float:
+        """The largest difference from the kernel between any two rows."""
+        mapped = self.apply(dense)
+        return float(np.abs(mapped @ mapped.T - rbf(dense, dense, self.gamma)).max(initial=0))
+
+    def settings(self) -> dict:
+        return {"gamma": self.gamma, "dim": self.dim, "width": self.width, "seed": self.seed}
+
+    def arrays(self) -> dict[str, np.ndarray]:
+        return {} if self.landmarks is None else {"landmarks": self.landmarks, "turn": self.turn}
+
+    @classmethod
+    def restore(cls, settings: dict, arrays: dict[str, np.ndarray]) -> KernelMap:
+        return cls(**settings, landmarks=arrays.get("landmarks"), turn=arrays.get("turn"))
+
+
+def dense_rows(indices: pa.Array, values: pa.Array, dim: int) -> np.ndarray:
+    """Sparse vectors (no row null) as one matrix."""
+    lengths = values.value_lengths().to_numpy(zero_copy_only=False)
+    out = np.zeros((len(lengths), dim))
+    out[np.repeat(np.arange(len(lengths)), lengths), indices.flatten().to_numpy()] = values.flatten().to_numpy()
+    return out
+
+
+def _chunks(indices: pa.Array, values: pa.Array, dim: int) -> Iterator[np.ndarray]:
+    for at in range(0, len(values), _CHUNK):
+        yield dense_rows(indices.slice(at, _CHUNK), values.slice(at, _CHUNK), dim)
+
+
+def map_udf(kernel_map: KernelMap):
+    """UDF: (indices, values) of a sparse vector -> its mapped features."""
 
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def features(indices: pa.Array, values: pa.Array) -> pa.Array:
-        weights, shift = _drawn(dim, n_features, gamma, seed)
-        lengths = values.value_lengths().to_numpy(zero_copy_only=False)
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        place, value = indices.flatten().to_numpy(), values.flatten().to_numpy()
-        row = np.repeat(np.arange(len(lengths)), lengths)
-        blocks = []
-        for start in range(0, len(lengths), _CHUNK):
-            stop = min(start + _CHUNK, len(lengths))
-            cells = slice(ends[start], ends[stop])
-            dense = np.zeros((stop - start, dim))
-            dense[row[cells] - start, place[cells]] = value[cells]
-            blocks.append(np.cos(dense @ weights + shift) * np.sqrt(2.0 / n_features))
+        blocks = [kernel_map.apply(x) for x in _chunks(indices, values, kernel_map.dim)]
         flat = np.concatenate(blocks).ravel() if blocks else np.empty(0)
-        offsets = pa.array(np.arange(len(lengths) + 1, dtype=np.int32) * n_features)
+        offsets = pa.array(np.arange(len(values) + 1, dtype=np.int32) * kernel_map.width)
         return pa.ListArray.from_arrays(offsets, pa.array(flat))
 
     return features
+
+
+def decision_udf(weights: np.ndarray, dim: int, kernel_map: KernelMap | None):
+    """UDF: (indices, values) of a sparse vector -> its side of a plane; `weights` end with the intercept. With a map the
+    vector goes through it first, chunk by chunk, and the mapped features are never rows."""
+
+    @F.arrow_udf(T.DoubleType())
+    def decision(indices: pa.Array, values: pa.Array) -> pa.Array:
+        mapped = lambda x: x if kernel_map is None else kernel_map.apply(x)
+        parts = [mapped(x) @ weights[:-1] + weights[-1] for x in _chunks(indices, values, dim)]
+        return pa.array(np.concatenate(parts) if parts else np.empty(0))
+
+    return decision

@@ -2,24 +2,23 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.classification import LinearSVC, LinearSVCModel
-from pyspark.ml.functions import array_to_vector, vector_to_array
+import numpy as np
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.kernel import fourier_udf
+from corpusloom.functions.kernel import KernelMap, decision_udf, map_udf
+from corpusloom.operators import many_svms
+from corpusloom.operators.blocks import places_and_values, width
 from corpusloom.operators.evaluate import confusion_metrics, minmax_normalize, roc_curve
-from corpusloom.operators.ranking import with_hash_rank
-from corpusloom.operators.storage import settle, settle_for_fits
+from corpusloom.operators.many_svms import HELD, Blocks, Entry, weight_rule
+from corpusloom.operators.ranking import sample_n, with_hash_rank
 from corpusloom.operators.review import join_features_labels, review_batch
+from corpusloom.operators.storage import settle
 
 ID = "paper_number"
-ROWS_PER_PARTITION = 1_000
 
 # The full search grid.
 FULL_C = [0.001, 0.01, 0.1, 1, 10, 100, 1000]
@@ -31,82 +30,83 @@ FULL_GRID = [{"kernel": "rbf", "gamma": g, "C": c} for g in FULL_GAMMA for c in
 
 @dataclass
 class SvmModel:
-    svm: LinearSVCModel
+    """A fitted plane: weights with the intercept last, over the features or over their kernel map."""
+
+    weights: np.ndarray
     kernel: str = "linear"
     C: float = 100.0
     gamma: float | None = None
-    n_features: int = 500
-    dim: int | None = None
-    seed: int = 0
+    dim: int = 0
+    map: KernelMap | None = None
+
 
-    def prepare(self, df: DataFrame) -> DataFrame:
-        if self.kernel == "linear":
-            return df
-        return fourier_features(df, self.gamma, self.dim, self.n_features, self.seed)
+def mapped_features(df: DataFrame, kernel_map: KernelMap) -> DataFrame:
+    """Replace the feature vector by its image."""
+    return df.withColumn("features", array_to_vector(map_udf(kernel_map)(*places_and_values(dim=kernel_map.dim))))
 
 
 def fourier_features(df: DataFrame, gamma: float, dim: int, n_features: int = 500, seed: int = 0) -> DataFrame:
     """Replace the feature vector by random Fourier features of an RBF kernel with the given gamma."""
-    raw = F.unwrap_udt("features")
-    places = F.coalesce(raw["indices"], F.sequence(F.lit(0), F.lit(dim - 1)))
-    mapped = fourier_udf(dim, n_features, gamma, seed)(places, raw["values"])
-    return df.withColumn("features", array_to_vector(mapped))
+    return mapped_features(df, KernelMap.fourier(gamma, dim, n_features, seed))
 
 
-def class_weights(train: DataFrame, mode: str | None) -> dict[int, float]:
-    """Weight per class: "count" is the class size itself, "balanced" n / (2 * size), None is 1."""
-    sizes = {r.label: r["count"] for r in train.groupBy("label").count().collect()}
-    n = sum(sizes.values())
-    rule = {"count": lambda s: float(s), "balanced": lambda s: n / (len(sizes) * s), None: lambda s: 1.0}[mode]
-    weights = {label: rule(size) for label, size in sizes.items()}
-    weights["total"] = sum(weights[label] * size for label, size in sizes.items())
-    weights["rows"] = n
-    return weights
+def landmark_rows(df: DataFrame, n: int, seed: int = 0, id_col: str = ID) -> np.ndarray:
+    """The vectors of n rows, chosen by a hash of their ids; equal vectors once. n bounds what reaches the driver."""
+    dim = width(df)
+    places, values = places_and_values(dim=dim)
+    rows = sample_n(df.select(id_col, "features"), n, f"landmarks:{seed}", id_col).select(places.alias("places"), values.alias("values")).collect()
+    out = np.zeros((len(rows), dim))
+    for i, r in enumerate(rows):
+        out[i, r["places"]] = r["values"]
+    return np.unique(out, axis=0)
 
 
-def compact(df: DataFrame, rows: int) -> DataFrame:
-    """Few partitions for few rows: an iterative fit pays for every task once per iteration."""
-    return df.coalesce(max(1, math.ceil(rows / ROWS_PER_PARTITION)))
+def kernel_maps(df: DataFrame, gammas: list[float], how: str = "fourier", n_features: int = 500, seed: int = 0, id_col: str = ID) -> dict[float, KernelMap]:
+    """One map per gamma: `fourier`, or `landmarks` out of the rows of df, of which there are n_features at most."""
+    if how == "fourier":
+        dim = width(df)
+        return {g: KernelMap.fourier(g, dim, n_features, seed) for g in gammas}
+    if how != "landmarks":
+        raise ValueError(f"no kernel map {how}")
+    rows = landmark_rows(df, n_features, seed, id_col)
+    return {g: KernelMap.from_landmarks(g, rows) for g in gammas}
 
 
-def fit_linear(train: DataFrame, C: float, weight_mode: str | None, max_iter: int) -> LinearSVCModel:
-    """Fit on rows that are cached already."""
-    weights = class_weights(train, weight_mode)
-    positive = F.lit(weights.get(1, 1.0))
-    weighted = train.select(
-        "features",
-        F.col("label").cast("double").alias("label"),
-        F.when(F.col("label") == 1, positive).otherwise(F.lit(weights.get(0, 1.0))).alias("weight"),
-    )
-    svc = LinearSVC(
-        weightCol="weight", regParam=1.0 / (C * weights["total"]), standardization=False, maxIter=max_iter,
-    )
-    return svc.fit(compact(weighted, weights["rows"]))
+def kernel_errors(df: DataFrame, maps: dict[float, KernelMap], n: int = 400, seed: str = "errors", id_col: str = ID) -> DataFrame:
+    """(gamma, width, error): the largest difference from the kernel between any two of n rows chosen by a hash of their ids."""
+    rows = landmark_rows(df, n, seed, id_col)
+    found = [(float(g), m.width, m.error(rows)) for g, m in sorted(maps.items())]
+    return df.sparkSession.createDataFrame(found, "gamma double, width int, error double")
 
 
-def feature_width(df: DataFrame) -> int:
-    raw = F.unwrap_udt("features")
-    return df.select(F.coalesce(raw["size"], F.size(raw["values"]))).first()[0]
+def class_weights(train: DataFrame, mode: str | None) -> dict[int, float]:
+    """Weight per class: "count" is the class size itself, "balanced" n / (2 * size), None is 1."""
+    sizes = {r.label: r["count"] for r in train.groupBy("label").count().collect()}
+    weights = weight_rule(mode, sizes)
+    weights["total"] = sum(weights[label] * size for label, size in sizes.items())
+    weights["rows"] = sum(sizes.values())
+    return weights
 
 
 def svm_fit(
     train: DataFrame, C: float = 100.0, weight_mode: str | None = "balanced", kernel: str = "linear",
-    gamma: float | None = None, n_features: int = 500, seed: int = 0, max_iter: int = 100,
+    gamma: float | None = None, n_features: int = 500, seed: int = 0, max_iter: int = 100, approximation: str = "fourier", id_col: str = ID,
 ) -> SvmModel:
-    """Soft-margin SVM on (features, label 0/1); C has its usual meaning, hence regParam = 1 / (C * sum of weights)."""
-    rows = settle_for_fits(train.select("features", "label"))
-    dim = feature_width(rows) if kernel == "rbf" else None
-    model = SvmModel(None, kernel, C, gamma, n_features, dim, seed)
-    model.svm = fit_linear(model.prepare(rows), C, weight_mode, max_iter)
-    rows.unpersist()
-    return model
+    """Soft-margin SVM on (features, label 0/1); C has its usual meaning. An RBF kernel is approximated by a map, see kernel_maps."""
+    entry = Entry(kernel, C, gamma)
+    rows = settle(train.select(*([id_col] if id_col in train.columns else []), "features", "label"))
+    maps = {} if kernel == "linear" else kernel_maps(rows, [gamma], approximation, n_features, seed, id_col)
+    held = many_svms.make_blocks(rows, [entry.map], maps)
+    weights = many_svms.fit_many(held, [entry], weight_mode, max_iter)[0]
+    held.release()
+    return SvmModel(weights, kernel, C, gamma, held.dim, maps.get(gamma))
 
 
 def svm_score(model: SvmModel, corpus: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Decision score and predicted label of every row; positive scores mean class 1."""
-    scored = model.svm.transform(model.prepare(corpus))
-    score = F.get(vector_to_array("rawPrediction"), F.lit(1))
-    return scored.select(*(keep or [ID]), score.alias("score"), F.col("prediction").cast("int").alias("prediction"))
+    score = decision_udf(model.weights, model.dim, model.map)(*places_and_values(dim=model.dim))
+    scored = corpus.select(*(keep or [ID]), score.alias("score"))
+    return scored.withColumn("prediction", (F.col("score") > 0).cast("int"))
 
 
 def stratified_folds(labeled: DataFrame, folds: int, seed="folds", id_col: str = ID) -> DataFrame:
@@ -116,50 +116,67 @@ def stratified_folds(labeled: DataFrame, folds: int, seed="folds", id_col: str =
     return labeled.join(ranked.select(id_col, fold), id_col)
 
 
+def grid_entries(grid: list[dict], cell: int, folds: int) -> list[Entry]:
+    return [Entry(e["kernel"], e["C"], e.get("gamma"), cell, f) for e in grid for f in range(folds)]
+
+
+def grid_maps(grid: list[dict]) -> list[tuple[str, float | None]]:
+    return list(dict.fromkeys((e["kernel"], e.get("gamma")) for e in grid))
+
+
+def grid_gammas(grid: list[dict]) -> list[float]:
+    return list(dict.fromkeys(e["gamma"] for e in grid if e.get("gamma") is not None))
+
+
+def search_cells(
+    held: Blocks, grid: list[dict], cells: list[int], folds: int, weight_mode: str | None, max_iter: int, path: bool = False,
+) -> tuple[np.ndarray, list[Entry], list[np.ndarray]]:
+    """Cross-validated F1 (cells x grid x folds), and of each cell the best entry, refitted on all its rows, with its weights.
+
+    With `path`, entries that differ only in C are fitted in the order of C, each from the weights of the one before:
+    fewer models at a time and fewer passes for each, which pays if there are very many.
+    """
+    entries = [e for cell in cells for e in grid_entries(grid, cell, folds)]
+    weights: list[np.ndarray | None] = [None] * len(entries)
+    place = {e: i for i, e in enumerate(entries)}
+    levels = sorted({e.C for e in entries}) if path else [None]
+    for before, level in zip([None, *levels], levels, strict=False):
+        own = [e for e in entries if level in (None, e.C)]
+        zero = lambda e: np.zeros(held.widths[held.maps.index(e.map)] + 1)
+        known = [weights[place[r]] if (r := Entry(e.kernel, before, e.gamma, e.cell, e.fold)) in place else zero(e) for e in own] if before is not None else None
+        for e, w in zip(own, many_svms.fit_many(held, own, weight_mode, max_iter, known), strict=True):
+            weights[place[e]] = w
+    counts = many_svms.count_many(held, entries, weights)[:, HELD]
+    f1 = many_svms.f1_of(counts).reshape(len(cells), len(grid), folds)
+    chosen, first = [], []
+    for cell, means in zip(cells, f1.mean(axis=2), strict=True):
+        best = grid[int(means.argmax())]
+        chosen.append(Entry(best["kernel"], best["C"], best.get("gamma"), cell))
+        first.append(weights[place[Entry(best["kernel"], best["C"], best.get("gamma"), cell, 0)]])
+    return f1, chosen, many_svms.fit_many(held, chosen, weight_mode, max_iter, first)
+
+
 def svm_grid_search(
     train: DataFrame, grid: list[dict] | None = None, folds: int = 5, weight_mode: str | None = "balanced",
-    seed: int = 0, n_features: int = 500, max_iter: int = 100, parallelism: int = 6,
+    seed: int = 0, n_features: int = 500, max_iter: int = 100, approximation: str = "fourier",
 ) -> tuple[DataFrame, SvmModel]:
-    """Cross-validated F1 of every grid entry (one row per entry and fold) and the best entry refitted on all rows."""
+    """Cross-validated F1 of every grid entry (one row per entry and fold) and the best entry refitted on all rows.
+
+    All entries and folds are fitted together, see many_svms. Of entries with the same mean the first wins.
+    """
     spark = train.sparkSession
     grid = FULL_GRID if grid is None else grid
-    rows = settle_for_fits(stratified_folds(train.select(ID, "features", "label"), folds, seed))
-    dim = feature_width(rows)
-    compacted = compact(rows, rows.count())
-
-    def mapped(entry):
-        shape = SvmModel(None, entry["kernel"], entry["C"], entry.get("gamma"), n_features, dim, seed)
-        return shape.prepare(compacted)
-
-    inputs = {}
-    for entry in grid:
-        key = (entry["kernel"], entry.get("gamma"))
-        if key not in inputs:
-            inputs[key] = compacted if key[0] == "linear" else settle_for_fits(mapped(entry))
-
-    def one(cell):
-        entry, held = cell
-        data = inputs[entry["kernel"], entry.get("gamma")]
-        svm = fit_linear(data.where(F.col("fold") != held), entry["C"], weight_mode, max_iter)
-        scored = svm.transform(data.where(F.col("fold") == held))
-        return confusion_metrics(scored).first().f1
-
-    cells = [(entry, fold) for entry in grid for fold in range(folds)]
-    with ThreadPool(parallelism) as pool:
-        f1 = pool.map(inheritable_thread_target(spark)(one), cells)
+    rows = settle(stratified_folds(train.select(ID, "features", "label"), folds, seed))
+    maps = kernel_maps(rows, grid_gammas(grid), approximation, n_features, seed)
+    held = many_svms.make_blocks(rows, grid_maps(grid), maps, folds=folds)
+    f1, (best,), (weights,) = search_cells(held, grid, [0], folds, weight_mode, max_iter)
+    held.release()
     found = [
         (e["kernel"], float(e["C"]), None if e.get("gamma") is None else float(e["gamma"]), fold, float(value))
-        for (e, fold), value in zip(cells, f1)
+        for e, values in zip(grid, f1[0], strict=True) for fold, value in enumerate(values)
     ]
-    means = [sum(f1[i * folds : (i + 1) * folds]) / folds for i in range(len(grid))]
-    best = grid[means.index(max(means))]
-    data = inputs[best["kernel"], best.get("gamma")]
-    model = SvmModel(None, best["kernel"], best["C"], best.get("gamma"), n_features, dim, seed)
-    model.svm = fit_linear(data, best["C"], weight_mode, max_iter)
-    for cached in [*inputs.values(), rows]:
-        cached.unpersist()
-    results = spark.createDataFrame(found, "kernel string, C double, gamma double, fold int, f1 double")
-    return results, model
+    model = SvmModel(weights, best.kernel, best.C, best.gamma, held.dim, maps.get(best.gamma))
+    return spark.createDataFrame(found, "kernel string, C double, gamma double, fold int, f1 double"), model
 
 
 def holdout_evaluation(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.encoding import token_id_udf, word_piece_udf
+from corpusloom.operators.storage import settle
 from corpusloom.operators.text import salt_of, within_token_budget
 
 LOOKUP_TERMS = 500_000
@@ -63,7 +64,7 @@ def encode_token_ids(
         lookup = token_id_udf(df.sparkSession.sparkContext.broadcast(table), unknown)
         return df.withColumn(out, _padded(lookup(col), max_len))
     others = [c for c in df.columns if c not in (col, out)]
-    rows = df.withColumns({"_row": F.monotonically_increasing_id(), "_null": F.col(col).isNull()})
+    rows = settle(df.withColumns({"_row": F.monotonically_increasing_id(), "_null": F.col(col).isNull()}))  # numbered once
     tokens = rows.select(*others, "_row", "_null", F.posexplode_outer(col).alias("_pos", "term"))
     tokens = tokens.withColumn("_salt", salt_of("_row", salts))
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))

@@ -15,7 +15,7 @@ from corpusloom.functions.words import (
     split_without_punctuation,
     token_array,
 )
-from corpusloom.operators.ranking import top_n_per_group
+from corpusloom.operators.ranking import of_group, same_group, top_n_per_group
 from corpusloom.operators.storage import settle
 
 LITERAL_WORDS = 5_000
@@ -128,23 +128,62 @@ def top_terms(counts: DataFrame, n: int) -> DataFrame:
     return counts.orderBy(F.desc("n"), "term").limit(n)
 
 
-def word_frequencies(df: DataFrame, col: str = "tokens", words: list[str] | None = None, top: int = 200) -> DataFrame:
+PAIR_SCORE = 30  # how far the likelihood ratio of a pair of words has to exceed chance
+
+
+def _log_share(k: Column, n: Column, share: Column) -> Column:
+    """Log likelihood of k successes out of n."""
+    least = F.lit(1e-10)
+    return F.ln(F.greatest(share, least)) * k + F.ln(F.greatest(1 - share, least)) * (n - k)
+
+
+def pair_counts(df: DataFrame, col: str, stop: list[str], singles: DataFrame, by: list[str], least: float = PAIR_SCORE) -> DataFrame:
+    """(by, first, second, n) of neighbours in a document, neither on the stop list, that come together far more often than
+    their single counts let expect (likelihood ratio test of Dunning, 1993)."""
+    follow = F.arrays_zip(F.slice(col, 1, F.size(col) - 1).alias("first"), F.slice(col, 2, F.size(col)).alias("second"))
+    free = lambda p: ~p["first"].isin(stop) & ~p["second"].isin(stop)
+    longer = keep_arrays(df.select(*by, col), col, lambda t: F.size(t) > 1)
+    each = longer.select(*by, F.explode_outer(F.filter(follow, free)).alias("p")).where(F.col("p").isNotNull())
+    counted = each.groupBy(*by, F.col("p.first").alias("first"), F.col("p.second").alias("second")).agg(F.count("*").alias("n"))
+    totals = of_group(singles.groupBy(*by).agg(F.sum("n").alias("_all")), by)
+    one, two = (of_group(singles.select(*by, F.col("term").alias(f"_{k}"), F.col("n").alias(f"_n{k}")), by) for k in (1, 2))
+    known = counted.join(one, same_group(counted, one, by) & (F.col("first") == F.col("_1"))).select(*[counted[c] for c in counted.columns], "_n1")
+    known = known.join(two, same_group(known, two, by) & (F.col("second") == F.col("_2"))).select(*[known[c] for c in known.columns], "_n2")
+    known = known.join(totals if by else F.broadcast(totals), same_group(known, totals, by)).select(*[known[c] for c in known.columns], "_all")
+    both, first, second, every = (F.col(c) for c in ("n", "_n1", "_n2", "_all"))
+    alone, with_, without = second / every, both / first, (second - both) / (every - first)
+    score = _log_share(both, first, with_) + _log_share(second - both, every - first, without)
+    score = score - _log_share(both, first, alone) - _log_share(second - both, every - first, alone)
+    return known.where((every > first) & (every > second)).where(2 * score > least).select(*by, "first", "second", "n")
+
+
+def _cloud_counts(df: DataFrame, col: str, words: list[str] | None, by: list[str], pairs: bool) -> DataFrame:
+    """(by, term, n) outside the stop list; with `pairs`, accepted pairs are terms too and their words count that much less."""
+    stop = list(STOP_WORDS if words is None else words)
+    singles = explode_terms(df, col, by).where(~F.col("term").isin(stop)).groupBy(*by, "term").agg(F.count("*").alias("n"))
+    if not pairs:
+        return singles
+    singles = settle(singles)  # read four times below
+    found = settle(pair_counts(df, col, stop, singles, by))
+    taken = found.select(*by, F.explode(F.array("first", "second")).alias("term"), (-F.col("n")).alias("n"))
+    joined = found.select(*by, F.concat_ws(" ", "first", "second").alias("term"), "n")
+    return singles.unionByName(taken).unionByName(joined).groupBy(*by, "term").agg(F.sum("n").alias("n")).where("n > 0")
+
+
+def word_frequencies(
+    df: DataFrame, col: str = "tokens", words: list[str] | None = None, top: int = 200, pairs: bool = False
+) -> DataFrame:
     """Word-cloud table: the most frequent terms outside the stop list, scaled by the largest count."""
-    stop = STOP_WORDS if words is None else words
-    terms = explode_terms(df, col).where(~F.col("term").isin(list(stop)))
-    ranked = top_terms(terms.groupBy("term").agg(F.count("*").alias("n")), top)
+    ranked = top_terms(_cloud_counts(df, col, words, [], pairs), top)
     largest = F.max("n").over(Window.partitionBy())  # at most `top` rows are left here
     return ranked.withColumn("frequency", F.col("n") / largest)
 
 
 def group_word_frequencies(
-    df: DataFrame, by: str, col: str = "tokens", words: list[str] | None = None, top: int = 200
+    df: DataFrame, by: str, col: str = "tokens", words: list[str] | None = None, top: int = 200, pairs: bool = False
 ) -> DataFrame:
     """Word-cloud table per group."""
-    stop = STOP_WORDS if words is None else words
-    terms = explode_terms(df, col, [by]).where(~F.col("term").isin(list(stop)))
-    counts = terms.groupBy(by, "term").agg(F.count("*").alias("n"))
-    ranked = top_n_per_group(counts, [by], [F.desc("n"), F.col("term")], top)
+    ranked = top_n_per_group(_cloud_counts(df, col, words, [by], pairs), [by], [F.desc("n"), F.col("term")], top)
     largest = F.max("n").over(Window.partitionBy(by))
     return ranked.withColumn("frequency", F.col("n") / largest)
 
@@ -167,7 +206,7 @@ def vocab_filter(
     if words is not None:
         kept = df.select(id_col, F.filter(col, lambda w: w.isin(words)).alias(col))
         return keep_arrays(kept, col, lambda t: F.size(t) > 0)
-    rows = df.select(id_col, col, F.monotonically_increasing_id().alias("_row"))
+    rows = settle(df.select(id_col, col, F.monotonically_increasing_id().alias("_row")))  # numbered once, whatever is lost later
     tokens = explode_places(rows, col, [id_col, "_row"]).withColumn("_salt", salt_of("_row", salts))
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     terms = vocabulary.select("term").distinct().withColumn("_salt", every_salt)

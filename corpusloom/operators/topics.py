@@ -2,60 +2,56 @@
 
 from __future__ import annotations
 
-import math
-from multiprocessing.pool import ThreadPool
-
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.operators import many_topics
 from corpusloom.operators.features import Vocabulary
+from corpusloom.operators.many_topics import Spec, TopicModel
 from corpusloom.operators.ranking import hash_order, top_n_per_group
-from corpusloom.operators.storage import settle_for_fits
+from corpusloom.operators.storage import settle
+
+ID = "paper_number"
 
 
 def lda_fit(
     df: DataFrame, k: int, learning_decay: float = 0.7, max_iter: int = 10, seed: int = 0, features: str = "features",
-    batch_fraction: float = 1.0,
-) -> LDAModel:
+    batch_fraction: float = 1.0, id_col: str = ID,
+) -> TopicModel:
     """Online variational LDA. Every iteration reads `batch_fraction` of the documents."""
-    return LDA(
-        k=k, maxIter=max_iter, seed=seed, optimizer="online", learningOffset=10.0, learningDecay=learning_decay,
-        subsamplingRate=batch_fraction, optimizeDocConcentration=False, featuresCol=features,
-    ).fit(df)
+    held = many_topics.document_blocks(settle(df.select(id_col, features)), id_col, features, seed)
+    model = many_topics.fit_topics(held, [Spec(k, learning_decay)], max_iter, seed, batch_fraction)[0]
+    held.release()
+    return model
 
 
-def lda_scores(model: LDAModel, df: DataFrame) -> tuple[float, float]:
-    """(log likelihood bound, perplexity) of a set of documents."""
-    return model.logLikelihood(df), math.exp(model.logPerplexity(df))
+def lda_scores(model: TopicModel, df: DataFrame, id_col: str = ID, features: str = "features") -> tuple[float, float]:
+    """(log likelihood bound, perplexity) of a set of documents, from one pass."""
+    held = many_topics.document_blocks(df, id_col, features)
+    found = many_topics.topic_scores(held, [TopicModel(Spec(model.spec.k), model.counts)])[0]
+    held.release()
+    return found
 
 
 def lda_grid_search(
     df: DataFrame, ks: list[int], decays: list[float], folds: int = 5, max_iter: int = 10, seed: int = 0,
-    id_col: str = "paper_number", parallelism: int = 4,
-) -> tuple[DataFrame, LDAModel, dict]:
-    """Cross-validated log likelihood of every (k, decay), the refitted best model and its parameters."""
-    spark = df.sparkSession
-    fold = F.pmod(F.conv(F.substring(hash_order(seed, F.col(id_col)), 1, 8), 16, 10).cast("bigint"), F.lit(folds))
-    rows = settle_for_fits(df.select(id_col, "features", fold.alias("_fold")))
+    id_col: str = ID,
+) -> tuple[DataFrame, TopicModel, dict]:
+    """Cross-validated log likelihood of every (k, decay), the refitted best model and its parameters.
 
-    def one(cell):
-        k, decay, held = cell
-        model = lda_fit(rows.where(F.col("_fold") != held), k, decay, max_iter, seed)
-        likelihood, perplexity = lda_scores(model, rows.where(F.col("_fold") == held))
-        return k, decay, held, likelihood, perplexity
-
-    cells = [(k, d, f) for k in ks for d in decays for f in range(folds)]
-    with ThreadPool(parallelism) as pool:
-        found = pool.map(inheritable_thread_target(spark)(one), cells)
+    All settings and folds read each block of documents together; the best is then fitted once more on all of them.
+    """
+    fold = F.pmod(F.conv(F.substring(hash_order(seed, F.col(id_col)), 1, 8), 16, 10).cast("bigint"), F.lit(folds))
+    held = many_topics.document_blocks(settle(df.select(id_col, "features", fold.cast("int").alias("fold"))), id_col, seed=seed)
+    specs = [Spec(k, d, f) for k in ks for d in decays for f in range(folds)]
+    models = many_topics.fit_topics(held, specs, max_iter, seed)
+    found = [(s.k, s.decay, s.fold, *scores) for s, scores in zip(specs, many_topics.topic_scores(held, models), strict=True)]
     means = {(k, d): sum(r[3] for r in found if r[:2] == (k, d)) / folds for k in ks for d in decays}
     k, decay = max(means, key=means.get)
-    best = lda_fit(rows, k, decay, max_iter, seed)
-    chosen = {"k": k, "learning_decay": decay, "score": means[k, decay], "perplexity": lda_scores(best, rows)[1]}
-    rows.unpersist()
-    results = spark.createDataFrame(found, "k int, learning_decay double, fold int, score double, perplexity double")
+    best = many_topics.fit_topics(held, [Spec(k, decay)], max_iter, seed)[0]
+    chosen = {"k": k, "learning_decay": decay, "score": means[k, decay], "perplexity": many_topics.topic_scores(held, [best])[0][1]}
+    held.release()
+    results = df.sparkSession.createDataFrame(found, "k int, learning_decay double, fold int, score double, perplexity double")
     return results, best, chosen
 
 
@@ -68,32 +64,36 @@ def grid_results_by_decay(results: DataFrame, decays: list[float]) -> DataFrame:
 
 def lda_sweep(
     df: DataFrame, ks: list[int], path: str, learning_decay: float = 0.7, max_iter: int = 10, seed: int = 0,
-    id_col: str = "paper_number",
+    id_col: str = ID,
 ) -> DataFrame:
-    """Perplexity and log likelihood for every k; the projections go to `path`, one partition per k."""
-    spark = df.sparkSession
-    rows = settle_for_fits(df.select(id_col, "features"))
+    """Perplexity and log likelihood for every k; the projections go to `path`, one partition per k.
+
+    All k are fitted together. One more scan writes the projections with each document's part of the bound, and the scores are
+    sums over what was written.
+    """
+    rows = settle(df.select(id_col, "features"))
+    held = many_topics.document_blocks(rows, id_col, seed=seed)
+    models = many_topics.fit_topics(held, [Spec(k, learning_decay) for k in ks], max_iter, seed)
+    held.release()
+    many_topics.project(rows, models, id_col).write.partitionBy("k").parquet(path)
+    sums = df.sparkSession.read.parquet(path).groupBy("k").agg(F.sum("bound").alias("bound"), F.sum("tokens").alias("tokens"))
+    seen = {r.k: (r.bound, r.tokens) for r in sums.collect()}
     found = []
-    for k in ks:
-        model = lda_fit(rows, k, learning_decay, max_iter, seed)
-        likelihood, perplexity = lda_scores(model, rows)
-        lda_doc_topics(model, rows, id_col).write.parquet(f"{path}/k={k}")
-        found.append((k, perplexity, likelihood))
-    rows.unpersist()
-    return spark.createDataFrame(found, "k int, perplexity double, score double")
+    for k, model in zip(ks, models, strict=True):
+        bound, tokens = seen.get(k, (0.0, 0.0))
+        total = bound + model.bound()
+        found.append((k, many_topics.perplexity(total, tokens), total))
+    return df.sparkSession.createDataFrame(found, "k int, perplexity double, score double")
 
 
-def lda_doc_topics(model: LDAModel, df: DataFrame, id_col: str = "paper_number") -> DataFrame:
-    scored = model.transform(df)
-    return scored.select(id_col, vector_to_array("topicDistribution").alias("weights"))
+def lda_doc_topics(model: TopicModel, df: DataFrame, id_col: str = ID) -> DataFrame:
+    return many_topics.project(df, [model], id_col).select(id_col, "weights")
 
 
-def lda_topic_words(model: LDAModel, vocab: Vocabulary) -> DataFrame:
+def lda_topic_words(model: TopicModel, vocab: Vocabulary) -> DataFrame:
     """(topic, term, weight) for every topic and vocabulary term; both are bounded by parameters."""
-    topics = model.describeTopics(len(vocab.terms))
-    cells = topics.select("topic", F.explode(F.arrays_zip("termIndices", "termWeights")).alias("c"))
-    terms = F.split(F.lit("\x01".join(vocab.terms)), "\x01")
-    return cells.select("topic", F.get(terms, F.col("c.termIndices")).alias("term"), F.col("c.termWeights").alias("weight"))
+    cells = [(t, term, float(w)) for t, row in enumerate(model.words()) for term, w in zip(vocab.terms, row, strict=True)]
+    return SparkSession.active().createDataFrame(cells, "topic int, term string, weight double")
 
 
 def rounded_weights(weights: Column) -> Column:

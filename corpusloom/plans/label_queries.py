@@ -167,12 +167,12 @@ def balanced_dev_set(spark, sf_dir):
     return sampling.balanced_dev_set(inputs.labels(spark, sf_dir), 100)
 
 
-_CURVE = sql.with_(sql.LABELS, sql.curve_cells(10, 40, 50, "curve"))
+_CURVE = sql.with_(sql.LABELS, sql.curve_cells(10, 40, 100, "curve"))
 
 
 @query("incremental_samples", _CURVE + "SELECT size_idx, repeat, paper_number, label FROM drawn")
 def incremental_samples(spark, sf_dir):
-    drawn = sampling.incremental_samples(inputs.labels(spark, sf_dir), 10, 40, 50, "curve")
+    drawn = sampling.incremental_samples(inputs.labels(spark, sf_dir), 10, 40, 100, "curve")
     return drawn.select("size_idx", "repeat", "paper_number", "label")
 
 
@@ -184,4 +184,4 @@ def incremental_samples(spark, sf_dir):
     "UNION ALL SELECT size_idx, repeat, paper_number, label FROM drawn",
 )
 def union_training(spark, sf_dir):
-    return sampling.union_training(inputs.labels(spark, sf_dir), 10, 40, 50, "curve")
+    return sampling.union_training(inputs.labels(spark, sf_dir), 10, 40, 100, "curve")

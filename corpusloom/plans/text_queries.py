@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpusloom.functions.encoding import basic_words
 from corpusloom.operators import encode, features, text
 from corpusloom.operators.storage import settle
 from corpusloom.plans import inputs, sql
@@ -280,3 +281,90 @@ def encode_segments(spark, sf_dir):
     marked = pairs.select("paper_id", F.concat(cls, "first", sep, "second", sep).alias("tokens"))
     fitting = text.within_token_budget(marked, max_len=900, markers=0)
     return encode.encode_segments(fitting, max_len=900).select("paper_id", F.array_join("segments", " ").alias("segments"))
+
+
+# Vocabulary of the sub-word encoder: the markers, every letter of a frequent token by itself and inside a word, the 1500 most
+# frequent tokens, and their last two and three letters.
+_PIECE_VOCAB = sql.vocab(1500, source="tokens") + """,
+letters AS (SELECT DISTINCT strip_accents(c) AS c FROM (SELECT unnest(string_split(term, '')) AS c FROM vocab)),
+listed AS (SELECT strip_accents(term) AS term FROM vocab UNION SELECT c FROM letters UNION SELECT '##' || c FROM letters
+  UNION SELECT '##' || right(strip_accents(term), 2) FROM vocab UNION SELECT '##' || right(strip_accents(term), 3) FROM vocab),
+pieces AS (SELECT term, 3 + row_number() OVER (ORDER BY term) AS id FROM listed)"""
+_MARK = r"!-/:-@\[-`{-~\p{P}"
+
+
+def _piece_vocabulary(spark, sf_dir):
+    """The same vocabulary; it is bounded by the 1500 tokens."""
+    frequent = [basic_words(t)[0] for t in features.vocabulary(inputs.tokens(spark, sf_dir), max_features=1500).terms]
+    letters = {c for t in frequent for c in t}
+    listed = sorted({*frequent, *letters, *(f"##{c}" for c in letters), *(f"##{t[-n:]}" for t in frequent for n in (2, 3))})
+    rows = [("[PAD]", 0), ("[UNK]", 1), ("[CLS]", 2), ("[SEP]", 3), *((t, i + 4) for i, t in enumerate(listed))]
+    return spark.createDataFrame(rows, "term string, id int")
+
+
+@query(
+    "encode_word_pieces",
+    _TOKENS.rstrip() + ",\n" + _PIECE_VOCAB + rf""",
+chunks AS (SELECT paper_number, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM
+  (SELECT paper_number, regexp_extract_all(strip_accents(lower(text)), '[{_MARK}]|[^\s{_MARK}]+') AS w FROM corpus)),
+split AS (WITH RECURSIVE walk AS (SELECT DISTINCT word, 1 AS at, 0 AS n, 0::BIGINT AS id FROM chunks UNION ALL
+    SELECT word, at + size, n + 1, id FROM (SELECT k.word, k.at, k.n, length(replace(p.term, '##', '')) AS size, p.id,
+      row_number() OVER (PARTITION BY k.word, k.at ORDER BY length(replace(p.term, '##', '')) DESC) AS best
+      FROM walk k JOIN pieces p ON starts_with(CASE WHEN k.at > 1 THEN '##' ELSE '' END || substr(k.word, k.at), p.term)
+      WHERE k.at <= length(k.word) AND length(k.word) <= 200 AND (k.at = 1 OR length(p.term) > 2)) WHERE best = 1)
+  SELECT * FROM walk),
+whole AS (SELECT word, max(at) > length(word) AS found FROM split GROUP BY word),
+ids AS (SELECT w.word, CASE WHEN found THEN list(id ORDER BY n) FILTER (n > 0) ELSE [1] END AS ids FROM whole w JOIN split USING (word) GROUP BY w.word, found),
+placed AS (SELECT paper_number, flatten(list(ids ORDER BY pos)) AS ids FROM chunks JOIN ids USING (word) GROUP BY paper_number),
+every AS (SELECT paper_number, coalesce(ids, []) AS ids FROM corpus LEFT JOIN placed USING (paper_number))
+SELECT paper_number, array_to_string(list_concat(list_concat([2], list_concat(ids, [3])), list_transform(range(898 - len(ids)), lambda i: 0)), ' ') AS ids
+FROM every WHERE len(ids) <= 898""",
+)
+def encode_word_pieces(spark, sf_dir):
+    vocab = _piece_vocabulary(spark, sf_dir)
+    pieces = encode.word_piece_tokens(inputs.corpus(spark, sf_dir), "text", vocab).drop("text")
+    ids = encode.encode_token_ids(encode.with_markers(pieces, max_len=900), vocab, "paper_number", max_len=900)
+    return ids.select("paper_number", F.array_join("ids", " ").alias("ids"))
+
+
+def _pair_sql(by: str) -> str:
+    """Pairs of neighbours that come together far more often than by chance, and single words less those pairs."""
+    group = f"{by}, " if by else ""
+    same = lambda a, b: f"{a}.{by} = {b}.{by} AND " if by else ""
+    l = lambda k, n, x: f"(ln(greatest({x}, 1e-10)) * ({k}) + ln(greatest(1 - {x}, 1e-10)) * (({n}) - ({k})))"  # noqa: E731, E741
+    return f"""singles AS (SELECT {group}term, count(*) AS c FROM seen_terms WHERE term NOT IN ({sql.STOP}) GROUP BY ALL),
+total AS (SELECT {group}sum(c) AS n FROM singles {'GROUP BY ' + by if by else ''}),
+pairs AS (SELECT {group}a.term AS first, b.term AS second, count(*) AS c FROM seen_terms a JOIN (SELECT paper_number, pos, term FROM seen_terms) b
+  ON a.paper_number = b.paper_number AND b.pos = a.pos + 1 WHERE a.term NOT IN ({sql.STOP}) AND b.term NOT IN ({sql.STOP}) GROUP BY ALL),
+rated AS (SELECT {'p.' + by + ', ' if by else ''}first, second, p.c AS c12, x.c AS c1, y.c AS c2, t.n AS n, y.c / t.n AS p, p.c / x.c AS p1, (y.c - p.c) / (t.n - x.c) AS p2
+  FROM pairs p JOIN singles x ON {same('p', 'x')}p.first = x.term JOIN singles y ON {same('p', 'y')}p.second = y.term JOIN total t ON {same('p', 't')}true
+  WHERE t.n > x.c AND t.n > y.c),
+kept_pairs AS (SELECT * FROM rated WHERE 2 * ({l('c12', 'c1', 'p1')} + {l('c2 - c12', 'n - c1', 'p2')} - {l('c12', 'c1', 'p')} - {l('c2 - c12', 'n - c1', 'p')}) > 30),
+less AS (SELECT {group}term, sum(c) AS c FROM (SELECT {group}first AS term, c12 AS c FROM kept_pairs UNION ALL SELECT {group}second, c12 FROM kept_pairs) GROUP BY ALL),
+both AS (SELECT {'s.' + by + ', ' if by else ''}s.term, s.c - coalesce(l.c, 0) AS n FROM singles s LEFT JOIN less l ON {same('s', 'l')}s.term = l.term
+  UNION ALL SELECT {group}first || ' ' || second, c12 FROM kept_pairs)"""
+
+
+@query(
+    "word_pair_frequencies",
+    sql.with_(sql.CORPUS, sql.LISTS, sql.TOKENS, "seen_terms AS (SELECT * FROM tokens)", _pair_sql(""))
+    + "SELECT term, cast(n AS BIGINT) AS n, round(n / max(n) OVER (), 6) AS frequency FROM (SELECT * FROM both WHERE n > 0 ORDER BY n DESC, term LIMIT 200)",
+)
+def word_pair_frequencies(spark, sf_dir):
+    cloud = text.word_frequencies(inputs.tokens(spark, sf_dir), top=200, pairs=True)
+    return cloud.withColumn("frequency", F.round("frequency", 6))
+
+
+@query(
+    "cluster_pair_frequencies",
+    sql.with_(
+        sql.CORPUS, sql.LISTS, sql.TOKENS,
+        "seen_terms AS (SELECT paper_number, pos, term, lang AS cluster FROM tokens JOIN documents ON doc_id = paper_number WHERE pos <= 3000)", _pair_sql("cluster"),
+    )
+    + "SELECT cluster, term, cast(n AS BIGINT) AS n, round(n / max(n) OVER (PARTITION BY cluster), 6) AS frequency FROM "
+    "(SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, term) AS rank FROM both WHERE n > 0) WHERE rank <= 200",
+)
+def cluster_pair_frequencies(spark, sf_dir):
+    tokens = text.cluster_tokens(inputs.clusters(spark, sf_dir), inputs.tokens(spark, sf_dir), "paper_number")
+    cloud = text.group_word_frequencies(tokens, "cluster", top=200, pairs=True)
+    return cloud.select("cluster", "term", "n", F.round("frequency", 6).alias("frequency"))

@@ -51,6 +51,7 @@ def test_registered_searches_and_curves_are_whole(spark, monkeypatch):
     assert len(classify.FULL_GRID) == 42
     assert seen["holdout_evaluation"] == seen["active_learning_round"] == ((classify.FULL_GRID,), {})
     assert seen["learning_curve"] == ((), {"steps": 10, "repeats": 40})
+    assert "store" in seen["learning_curve_grid"][1] and seen["learning_curve_grid"][1].pop("store")
     assert seen["learning_curve_grid"] == ((), {"steps": 10, "repeats": 40, "grid": classify.FULL_GRID})
 
 
@@ -152,7 +153,7 @@ def test_lda(spark, bags, tmp_path):
 def test_lda_grid(bags):
     results, best, chosen = topics.lda_grid_search(bags, [2, 4], [0.5, 0.9], folds=2, max_iter=5)
     rows = results.collect()
-    assert len(rows) == 8 and best.isDistributed() is False
+    assert len(rows) == 8 and best.spec.k == chosen["k"] and best.counts.shape[1] == 6
     means = {}
     for r in rows:
         means.setdefault((r.k, r.learning_decay), []).append(r.score)

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators import evaluate, ranking, review, sampling, topics
+from corpusloom.operators import evaluate, many_svms, ranking, review, sampling, topics
 
 
 def labels(spark, ones=30, zeros=6):
@@ -41,11 +41,13 @@ def test_hash_rank_sample_and_cells(spark):
 
 @pytest.mark.parametrize("rows", [200, 10**6, 10**12])
 def test_cell_samples_are_exact(spark, rows):
-    df = spark.createDataFrame([(c, i, [0, 7, 500][c]) for c in range(3) for i in range(200)], "cell int, id int, size int")
-    got = ranking.sample_per_cell(df, ["cell"], "size", F.col("cell"), "id", rows)
-    assert {r.cell: r["count"] for r in got.groupBy("cell").count().collect()} == {1: 7, 2: 200}
+    df = spark.createDataFrame([(c, i) for c in range(3) for i in range(200)], "cell int, id int")
+    df = df.withColumn("h", ranking.hash_order(F.col("cell"), F.col("id")))
+    cuts = ranking.cell_cuts(df, ["cell"], "h", {(0,): 0, (1,): 7, (2,): 500}, rows)
+    got = [(r.cell, r.id) for r in df.collect() if r.h <= cuts[r.cell,]]
     first = {r.id for r in ranking.sample_n(df.where("cell = 1"), 7, "1", "id").collect()}
-    assert {r.id for r in got.where("cell = 1").collect()} == first
+    assert {i for c, i in got if c == 1} == first and len(first) == 7
+    assert [c for c, _ in got].count(2) == 200 and [c for c, _ in got].count(0) == 0
 
 
 def test_top_n_beyond_the_group_limit(spark):
@@ -75,6 +77,11 @@ def test_learning_curve_samples(spark):
     assert sizes == {(k, r): (10 + 12 * k,) * 2 for k in range(5) for r in range(3)}
     first, second = ({r.paper_number for r in drawn.where(f"size_idx = 1 and repeat = {i}").collect()} for i in (0, 1))
     assert first != second
+    cells = sampling.curve_cells(sheet, steps=4, repeats=30, per_class=5)  # 150 cells: three words of bits
+    words = {r.paper_number: r.bits for r in sheet.select("paper_number", cells.bits().alias("bits")).collect()}
+    member = many_svms.member_bits([words[i] for i in sorted(words)], 150)
+    long = {(r.size_idx * 30 + r.repeat, r.paper_number) for r in sampling.union_training(sheet, 4, 30, 5).collect()}
+    assert {(c, i) for i in range(60) for c in range(150) if member[i, c]} == long
 
 
 def test_holdout_is_unlabelled(spark):

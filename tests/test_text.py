@@ -1,7 +1,9 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.functions.encoding import basic_words, word_pieces
+from corpusloom.functions.encoding import PieceTrie, basic_words, word_pieces
 from corpusloom.functions.stemming import stem
 from corpusloom.operators import encode, features, text
 
@@ -136,8 +138,8 @@ def test_segments(spark):
 
 def test_word_pieces(spark):
     vocab = {"un", "##aff", "##able", "cafe", "!", "the"}
-    assert word_pieces("unaffable", vocab) == ["un", "##aff", "##able"]
-    assert word_pieces("unknown", vocab) == ["[UNK]"]
+    assert word_pieces("unaffable", PieceTrie(vocab)) == ["un", "##aff", "##able"]
+    assert word_pieces("unknown", PieceTrie(vocab)) == ["[UNK]"] == word_pieces("un" * 101, PieceTrie({"un", "##un"}))
     assert basic_words("Café!x") == ["cafe", "!", "x"]
     table = spark.createDataFrame([(t, i) for i, t in enumerate(sorted(vocab))], "term string, id int")
     df = encode.word_piece_tokens(docs(spark, "The  unaffable Café!", " ", "zzz"), "text", table)
@@ -145,6 +147,61 @@ def test_word_pieces(spark):
     assert got == {0: ["the", "un", "##aff", "##able", "cafe", "!"], 1: [], 2: ["[UNK]"]}
 
 
+def longest_match(word, vocab):
+    """The greedy split by trying every end from the right."""
+    pieces, start = [], 0
+    while start < len(word):
+        mark = "##" if start else ""
+        end = next((e for e in range(len(word), start, -1) if mark + word[start:e] in vocab), None)
+        if end is None:
+            return ["[UNK]"]
+        pieces.append(mark + word[start:end])
+        start = end
+    return pieces
+
+
+def test_piece_trie_matches_the_greedy_split():
+    rng = random.Random(8)
+    some = lambda n, letters="ab#": "".join(rng.choice(letters) for _ in range(n))
+    for _ in range(400):
+        vocab = {rng.choice(["", "##"]) + some(rng.randrange(1, 5)) for _ in range(rng.randrange(1, 12))} | {"##"} - {rng.choice(["##", "x"])}
+        trie = PieceTrie(vocab)
+        for word in [some(rng.randrange(0, 9)) for _ in range(20)]:
+            assert word_pieces(word, trie) == longest_match(word, vocab), (word, vocab)
+
+
+def plain_pairs(docs, least):
+    """Counts of single words and accepted pairs, by the definition of the test."""
+    import collections
+    import math
+
+    single, pair = collections.Counter(w for d in docs for w in d), collections.Counter(p for d in docs for p in zip(d, d[1:], strict=False))
+    n, out = sum(single.values()), collections.Counter(single)
+    log = lambda k, m, x: math.log(max(x, 1e-10)) * k + math.log(max(1 - x, 1e-10)) * (m - k)
+    for (a, b), c in pair.items():
+        first, second = single[a], single[b]
+        if n > first and n > second:
+            p, with_, without = second / n, c / first, (second - c) / (n - first)
+            if 2 * (log(c, first, with_) + log(second - c, n - first, without) - log(c, first, p) - log(second - c, n - first, p)) > least:
+                out[a] -= c
+                out[b] -= c
+                out[f"{a} {b}"] = c
+    return {t: c for t, c in out.items() if c > 0}
+
+
+def test_pairs_of_words(spark):
+    rng = random.Random(9)
+    docs = [[w for _ in range(rng.randrange(12)) for w in (["new", "york"] if rng.random() < 0.3 else [rng.choice("abcdefg")])] for _ in range(120)] + [[], ["a"]]
+    df = spark.createDataFrame([(i, i % 2, d) for i, d in enumerate(docs)], "id int, g int, tokens array<string>")
+    got = {r.term: r.n for r in text.word_frequencies(df, words=["zz"], top=1000, pairs=True).collect()}
+    assert got == plain_pairs(docs, text.PAIR_SCORE) and got["new york"] > 50
+    by = text.group_word_frequencies(df, "g", words=["zz"], top=1000, pairs=True).collect()
+    for g in (0, 1):
+        assert {r.term: r.n for r in by if r.g == g} == plain_pairs(docs[g::2], text.PAIR_SCORE)
+    stop = {r.term for r in text.word_frequencies(df, words=["york"], top=1000, pairs=True).collect()}
+    assert "new york" not in stop and "york" not in stop and "new" in stop
+
+
 def test_token_head_and_cluster_join(spark):
     df = spark.createDataFrame([(1, ["a", "b", "c"])], "paper_number int, tokens array<string>")
     clusters = spark.createDataFrame([(1, 4)], "paper_number int, cluster int")
