@@ -307,13 +307,13 @@ def _piece_vocabulary(spark, sf_dir):
     _TOKENS.rstrip() + ",\n" + _PIECE_VOCAB + rf""",
 chunks AS (SELECT paper_number, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM
   (SELECT paper_number, regexp_extract_all(strip_accents(lower(text)), '[{_MARK}]|[^\s{_MARK}]+') AS w FROM corpus)),
-split AS (WITH RECURSIVE walk AS (SELECT DISTINCT word, 1 AS at, 0 AS n, 0::BIGINT AS id FROM chunks UNION ALL
-    SELECT word, at + size, n + 1, id FROM (SELECT k.word, k.at, k.n, length(replace(p.term, '##', '')) AS size, p.id,
-      row_number() OVER (PARTITION BY k.word, k.at ORDER BY length(replace(p.term, '##', '')) DESC) AS best
-      FROM walk k JOIN pieces p ON starts_with(CASE WHEN k.at > 1 THEN '##' ELSE '' END || substr(k.word, k.at), p.term)
-      WHERE k.at <= length(k.word) AND length(k.word) <= 200 AND (k.at = 1 OR length(p.term) > 2)) WHERE best = 1)
+split AS (WITH RECURSIVE walk AS (SELECT DISTINCT word, 1 AS start, 0 AS n, 0::BIGINT AS id FROM chunks UNION ALL
+    SELECT word, start + size, n + 1, id FROM (SELECT k.word, k.start, k.n, length(replace(p.term, '##', '')) AS size, p.id,
+      row_number() OVER (PARTITION BY k.word, k.start ORDER BY length(replace(p.term, '##', '')) DESC) AS best
+      FROM walk k JOIN pieces p ON starts_with(CASE WHEN k.start > 1 THEN '##' ELSE '' END || substr(k.word, k.start), p.term)
+      WHERE k.start <= length(k.word) AND length(k.word) <= 200 AND (k.start = 1 OR length(p.term) > 2)) WHERE best = 1)
   SELECT * FROM walk),
-whole AS (SELECT word, max(at) > length(word) AS found FROM split GROUP BY word),
+whole AS (SELECT word, max(start) > length(word) AS found FROM split GROUP BY word),
 ids AS (SELECT w.word, CASE WHEN found THEN list(id ORDER BY n) FILTER (n > 0) ELSE [1] END AS ids FROM whole w JOIN split USING (word) GROUP BY w.word, found),
 placed AS (SELECT paper_number, flatten(list(ids ORDER BY pos)) AS ids FROM chunks JOIN ids USING (word) GROUP BY paper_number),
 every AS (SELECT paper_number, coalesce(ids, []) AS ids FROM corpus LEFT JOIN placed USING (paper_number))
@@ -341,14 +341,14 @@ rated AS (SELECT {'p.' + by + ', ' if by else ''}first, second, p.c AS c12, x.c
   WHERE t.n > x.c AND t.n > y.c),
 kept_pairs AS (SELECT * FROM rated WHERE 2 * ({l('c12', 'c1', 'p1')} + {l('c2 - c12', 'n - c1', 'p2')} - {l('c12', 'c1', 'p')} - {l('c2 - c12', 'n - c1', 'p')}) > 30),
 less AS (SELECT {group}term, sum(c) AS c FROM (SELECT {group}first AS term, c12 AS c FROM kept_pairs UNION ALL SELECT {group}second, c12 FROM kept_pairs) GROUP BY ALL),
-both AS (SELECT {'s.' + by + ', ' if by else ''}s.term, s.c - coalesce(l.c, 0) AS n FROM singles s LEFT JOIN less l ON {same('s', 'l')}s.term = l.term
+cloud AS (SELECT {'s.' + by + ', ' if by else ''}s.term, s.c - coalesce(l.c, 0) AS n FROM singles s LEFT JOIN less l ON {same('s', 'l')}s.term = l.term
   UNION ALL SELECT {group}first || ' ' || second, c12 FROM kept_pairs)"""
 
 
 @query(
     "word_pair_frequencies",
     sql.with_(sql.CORPUS, sql.LISTS, sql.TOKENS, "seen_terms AS (SELECT * FROM tokens)", _pair_sql(""))
-    + "SELECT term, cast(n AS BIGINT) AS n, round(n / max(n) OVER (), 6) AS frequency FROM (SELECT * FROM both WHERE n > 0 ORDER BY n DESC, term LIMIT 200)",
+    + "SELECT term, cast(n AS BIGINT) AS n, round(n / max(n) OVER (), 6) AS frequency FROM (SELECT * FROM cloud WHERE n > 0 ORDER BY n DESC, term LIMIT 200)",
 )
 def word_pair_frequencies(spark, sf_dir):
     cloud = text.word_frequencies(inputs.tokens(spark, sf_dir), top=200, pairs=True)
@@ -362,7 +362,7 @@ def word_pair_frequencies(spark, sf_dir):
         "seen_terms AS (SELECT paper_number, pos, term, lang AS cluster FROM tokens JOIN documents ON doc_id = paper_number WHERE pos <= 3000)", _pair_sql("cluster"),
     )
     + "SELECT cluster, term, cast(n AS BIGINT) AS n, round(n / max(n) OVER (PARTITION BY cluster), 6) AS frequency FROM "
-    "(SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, term) AS rank FROM both WHERE n > 0) WHERE rank <= 200",
+    "(SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, term) AS rank FROM cloud WHERE n > 0) WHERE rank <= 200",
 )
 def cluster_pair_frequencies(spark, sf_dir):
     tokens = text.cluster_tokens(inputs.clusters(spark, sf_dir), inputs.tokens(spark, sf_dir), "paper_number")
