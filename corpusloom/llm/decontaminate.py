@@ -2,8 +2,9 @@
 
 An item is cut into windows of ten consecutive words (a shorter item is one window). A window is a set of shingles, each
 with its place. A document contains a window if it has all of its shingles at matching places, so of the shingles in
-order of rarity a prefix of one is necessary: the rarest. The join goes over that prefix alone, keeps candidates whose
-place and length leave room for the whole window, and verifies them shingle by shingle. Shingles are compared as text.
+order of rarity a prefix of one is necessary: the one that the fewest windows have, of equally rare ones the longest. The
+join goes over that prefix alone, keeps candidates whose place and length leave room for the whole window, and verifies
+them on the document's own words.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators.storage import settle
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+ANY_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # the same before lower-casing
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SHINGLE_WORDS = 3
 BROADCAST_BYTES = 64 << 20  # what is larger is joined by a shuffle with salted keys
@@ -50,19 +52,26 @@ def window_shingles(windows: DataFrame) -> DataFrame:
     return cut.select("window", "n_words", "n_shingles", "s.place", "s.shingle")
 
 
-def _bytes(df: DataFrame, *columns: str) -> int:
-    """Size of a table's text columns, as the check before a broadcast."""
-    per_row = sum(F.octet_length(c) + 64 for c in columns)
-    return df.agg(F.sum(per_row)).first()[0] or 0
+def _fits(df: DataFrame, text: Column, most: int) -> bool:
+    """Whether a table is small enough to be broadcast, by the bytes of its texts and 64 for each row."""
+    return (df.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + 64)).first()[0] or 0) <= most
+
+
+def prefixes(parts: DataFrame) -> DataFrame:
+    """(shingle, window, n_words, place): of each window the shingle that stands in the fewest windows."""
+    rarity = parts.groupBy("shingle").agg(F.countDistinct("window").alias("n"))
+    order = F.struct("n", (-F.octet_length("shingle")).alias("size"), "place", "shingle")
+    first = parts.join(rarity, "shingle").groupBy("window", "n_words").agg(F.min(order).alias("first"))
+    return first.select("first.shingle", "window", "n_words", "first.place")
 
 
 def _join_shingles(left: DataFrame, right: DataFrame, broadcast: bool) -> DataFrame:
     """Inner join on the shingle, where a shingle may hold a third of the rows of `left`."""
     if broadcast:
         return left.join(F.broadcast(right), "shingle")
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64("id", "digest", "at"), F.lit(SALTS)))
-    every = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
-    return salted.join(every, ["shingle", "_salt"]).drop("_salt")
+    salted = left.withColumn("salt", F.pmod(F.xxhash64("id", "digest", "at"), F.lit(SALTS)))
+    every = right.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
+    return salted.join(every, ["shingle", "salt"]).drop("salt")
 
 
 def contained_items(
@@ -76,54 +85,59 @@ def contained_items(
     and those named like a new one are replaced. With no documents or no items there are no hits.
     """
     kept = [c for c in docs.columns if c not in ("n_words", "n_hit", "items")]
+    names = [f"c{i}" for i in range(len(kept))]
+    plain = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(kept, names, strict=True)])
+    own_id, own_text = (names[kept.index(c)] for c in (id_col, text))
+    keyed = plain.select(F.col(own_id).alias("id"), F.xxhash64(own_text).alias("digest"), F.col(own_text).alias("text"))
+
     windows = settle(item_windows(items, size, item_text, item_id))
     parts = settle(window_shingles(windows))
-    small = _bytes(parts, "window", "shingle") <= broadcast_bytes
-    shingles = parts.select("shingle").distinct()
-    lengths = sorted(r[0] for r in shingles.select(F.size(F.split("shingle", " ")).alias("n")).distinct().collect())
-
-    # every place of a document where a shingle of some window stands; at most SHINGLE_WORDS lengths occur
-    digest = F.xxhash64(text)
-    worded = docs.select(F.col(id_col).alias("id"), digest.alias("digest"), words_of(F.col(text)).alias("w"))
-    runs = [F.coalesce(_runs(F.col("w"), n), F.array().cast("array<struct<place:int,shingle:string>>")) for n in lengths]
+    prefix = settle(prefixes(parts))
+    lengths = sorted(r[0] for r in prefix.select(F.size(F.split("shingle", " ")).alias("n")).distinct().collect())
+
+    # runs and size are columns before the explode, which then carries neither the words nor the text
     empty = F.array().cast("array<struct<place:int,shingle:string>>")
-    placed = worded.select("id", "digest", F.size("w").alias("size"), F.explode_outer(F.concat(empty, *runs)).alias("s"))
-    seen = placed.select("id", "digest", "size", F.col("s.place").alias("at"), "s.shingle")
-    hits = settle(_join_shingles(seen, shingles, small).distinct())
-
-    rarity = hits.groupBy("shingle").agg(F.count("*").alias("n"))
-    ranked = parts.join(rarity, "shingle", "left")
-    first = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "place", "shingle")).alias("first")
-    prefix = ranked.groupBy("window", "n_words", "n_shingles").agg(first).where(F.col("first.n") > 0)
-    prefix = prefix.select("window", "n_words", "n_shingles", "first.place", "first.shingle")
+    worded = keyed.select("id", "digest", words_of(F.col("text")).alias("w"))
+    runs = [F.coalesce(_runs(F.col("w"), n), empty) for n in lengths]  # at most SHINGLE_WORDS lengths occur
+    placed = worded.select("id", "digest", F.size("w").alias("size"), F.concat(empty, *runs).alias("runs"))
+    seen = placed.select("id", "digest", "size", F.explode_outer("runs").alias("s"))
+    seen = seen.select("id", "digest", "size", F.col("s.place").alias("at"), "s.shingle").where("shingle is not null")
     begin = (F.col("at") - F.col("place")).alias("begin")
-    candidates = _join_shingles(hits, prefix, small).select("id", "digest", "size", begin, "window", "n_words", "n_shingles")
-    candidates = candidates.where((F.col("begin") >= 0) & (F.col("begin") + F.col("n_words") <= F.col("size")))
-
-    wanted = parts.select("window", "place", "shingle")
-    needed = candidates.join(F.broadcast(wanted) if small else wanted, "window").withColumn("at", F.col("begin") + F.col("place"))
-    same = [F.col("n.id").eqNullSafe(F.col("h.id"))] + [F.col(f"n.{c}") == F.col(f"h.{c}") for c in ("digest", "at", "shingle")]
-    met = needed.alias("n").join(hits.alias("h"), same, "left_semi")
-    key = ["id", "digest", "begin", "window", "n_words"]
-    found = settle(met.groupBy(*key, "n_shingles").agg(F.count("*").alias("met")).where("met = n_shingles").select(*key))
-
-    inside = found.select("id", "digest", F.explode(F.sequence("begin", F.col("begin") + F.col("n_words") - 1)).alias("at"))
-    hit = inside.distinct().groupBy("id", "digest").agg(F.count("*").alias("n_hit"))
+    met = _join_shingles(seen, prefix, _fits(prefix, F.concat("shingle", "window"), broadcast_bytes)).select("id", "digest", "size", begin, "window", "n_words")
+    met = met.where((F.col("begin") >= 0) & (F.col("begin") + F.col("n_words") <= F.col("size")))
+    # no more candidates than places of the document times windows of a shingle
+    grouped = settle(met.groupBy("id", "digest").agg(F.collect_set(F.struct("begin", "n_words", "window")).alias("candidates")))
+
+    room = F.array_join(F.col("candidates.window"), "")
+    candidates = grouped.select(F.col("id").alias("c_id"), F.col("digest").alias("c_digest"), "candidates")
+    texts = keyed.join(F.broadcast(candidates) if _fits(grouped, room, broadcast_bytes) else candidates, _same("c_"))
+    found = F.filter("candidates", lambda c: F.array_join(F.slice("w", c["begin"] + 1, c["n_words"]), " ") == c["window"])
+    # as a generator, so that the words are cut once and not inside the function over candidates
+    verified = texts.select("id", "digest", "candidates", F.explode(F.array(words_of(F.col("text")))).alias("w")).select("id", "digest", found.alias("found"))
+    spans = F.flatten(F.transform("found", lambda c: F.sequence(c["begin"], c["begin"] + c["n_words"] - 1)))
+    hits = verified.select("id", "digest", F.size(F.array_distinct(spans)).cast("long").alias("hit"), F.array_distinct(F.col("found.window")).alias("windows"))
+    hits = settle(hits.where("hit > 0").dropDuplicates(["id", "digest"]))
+
     named = windows.where("item is not null").select("window", "item")
-    listed = found.select("id", "digest", "window").distinct().join(F.broadcast(named) if small else named, "window")
-    listed = listed.select("id", "digest", "item").distinct().groupBy("id", "digest").agg(F.sort_array(F.collect_list("item")).alias("items"))
-    got = hit.alias("a").join(listed.alias("b"), F.col("a.id").eqNullSafe(F.col("b.id")) & (F.col("a.digest") == F.col("b.digest")), "left")
-    got = got.select(F.col("a.id").alias("_id"), F.col("a.digest").alias("_digest"), F.col("n_hit").alias("_n"), F.col("items").alias("_items"))
-
-    sized = docs.select(*kept, digest.alias("_d"), F.size(words_of(F.col(text))).cast("long").alias("_size"))
-    both = sized.join(got, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_d") == F.col("_digest")), "left")
-    none = F.array().cast("array<string>")
+    listed = hits.select("id", "digest", F.explode("windows").alias("window"))
+    listed = listed.join(F.broadcast(named) if _fits(named, F.concat("window", "item"), broadcast_bytes) else named, "window")
+    listed = listed.select("id", "digest", "item").distinct().groupBy("id", "digest").agg(F.sort_array(F.collect_list("item")).alias("listed"))
+    listed = listed.select(F.col("id").alias("l_id"), F.col("digest").alias("l_digest"), "listed")
+    got = hits.select("id", "digest", "hit").join(listed, _same("l_"), "left").select(F.col("id").alias("g_id"), F.col("digest").alias("g_digest"), "hit", "listed")
+
+    both = plain.withColumns({"id": F.col(own_id), "digest": F.xxhash64(own_text), "n": F.coalesce(F.regexp_count(own_text, F.lit(ANY_WORD)), F.lit(0))})
+    both = both.join(got, _same("g_"), "left")
     return both.select(
-        *kept, F.col("_size").alias("n_words"), F.coalesce("_n", F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce("_items", none).alias("items"),
+        *[F.col(n).alias(c) for c, n in zip(kept, names, strict=True)], F.col("n").cast("long").alias("n_words"),
+        F.coalesce("hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("listed", F.array().cast("array<string>")).alias("items"),
     )
 
 
+def _same(prefix: str) -> Column:
+    """Documents are the same if their ids and the hashes of their texts are."""
+    return F.col("id").eqNullSafe(F.col(f"{prefix}id")) & (F.col("digest") == F.col(f"{prefix}digest"))
+
+
 ORACLE_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -5,10 +5,10 @@ So a border depends on two lines only, and text put in or taken out elsewhere do
 lines with words that occur more than once among all documents are compared byte for byte; the first one, by document
 and place, stays, and the others are removed.
 
-Short chunks are many: one in three is a single line, which is never removed. With `least` a border takes effect only
-once its chunk holds so many lines with a word, and every second line may be one. What is left at the end of a text is compared along with the chunk
-before it; a chunk never equals such a pair, as its start alone says where it ends. Lines of a passage before its first
-border and after its last one share chunks with other text and stay.
+A border takes effect only once its chunk holds two lines with a word, as a single line is never removed; every second
+line may be one. What is left at the end of a text is compared along with the chunk before it; a chunk never equals such a
+pair, as its start alone says where it ends. Lines of a passage before its first border and after its last one share chunks
+with other text and stay.
 """
 
 from __future__ import annotations
@@ -25,9 +25,8 @@ from pyspark.sql import types as T
 from corpusloom.operators.storage import settle
 
 WORD = re.compile(r"[^\x20\x09-\x0D]")
-WINDOW_LINES, FACTOR, DIVISOR = 2, 31, 3
+WINDOW_LINES, FACTOR, DIVISOR = 2, 31, 2
 LEAST_LINES = 2  # with a word
-JOINED_DIVISOR = 2  # where short chunks are joined: again three lines on average
 SALTS = 16
 
 
@@ -35,14 +34,14 @@ def line_hash(line: str) -> int:
     return int.from_bytes(hashlib.md5(line.encode(), usedforsecurity=False).digest()[:4], "big")
 
 
-def chunk_ends(lines: list[str], divisor: int = DIVISOR) -> list[int]:
-    """For each chunk the number of the line after its last one."""
+def chunk_ends(lines: list[str]) -> list[int]:
+    """Where the rolling hash sets a border: the number of the line after it, and the end."""
     rolling, recent, ends = 0, [0] * WINDOW_LINES, []
     for i, line in enumerate(lines):
         new = line_hash(line)
         rolling = (rolling - recent.pop(0) * FACTOR ** (WINDOW_LINES - 1)) * FACTOR + new
         recent.append(new)
-        if rolling % divisor == 0:
+        if rolling % DIVISOR == 0:
             ends.append(i + 1)
     return ends if ends and ends[-1] == len(lines) else [*ends, len(lines)]
 
@@ -63,13 +62,13 @@ def joined_ends(lines: list[str], ends: list[int], least: int) -> list[int]:
     return out
 
 
-def chunks(text: str, least: int = 0) -> list[list[str]]:
+def chunks(text: str, least: int = LEAST_LINES) -> list[list[str]]:
     lines = text.split("\n")
-    ends = joined_ends(lines, chunk_ends(lines, JOINED_DIVISOR), least) if least else chunk_ends(lines)
+    ends = joined_ends(lines, chunk_ends(lines), least)
     return [lines[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
-def compared(cut: list[list[str]], at: int, least: int) -> list[str]:
+def compared(cut: list[list[str]], at: int, least: int = LEAST_LINES) -> list[str]:
     """The lines that stand for a chunk: its own, and those of the chunk before a short last one."""
     return cut[at - 1] + cut[at] if 0 < at == len(cut) - 1 and n_worded(cut[at]) < least else cut[at]
 
@@ -132,7 +131,7 @@ def _by_document(places: DataFrame) -> DataFrame:
 _SAME = lambda: F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
 
 
-def repeated_chunks(docs: DataFrame, text: str = "text", id_col: str = "doc_id", least: int = 0) -> DataFrame:
+def repeated_chunks(docs: DataFrame, text: str = "text", id_col: str = "doc_id", least: int = LEAST_LINES) -> DataFrame:
     """(_id, _digest, chunks): numbers of the chunks to remove, by document id and hash of its text."""
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("digest"), F.col(text).alias("text"))
     rows = settle(_chunk_rows(texts, least))
@@ -148,12 +147,12 @@ def repeated_chunks(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     return settle(_by_document(places.join(firsts, same, "left_anti")))
 
 
-def dedup_lines(docs: DataFrame, text: str = "text", id_col: str = "doc_id", least: int = 0) -> DataFrame:
+def dedup_lines(docs: DataFrame, text: str = "text", id_col: str = "doc_id", least: int = LEAST_LINES) -> DataFrame:
     """Replaces every text by what is left of it, and adds n_lines and n_removed_lines.
 
     Rows that agree in id and text are one document and get one result. A null text stays null and has 0 lines; an empty
-    one has one empty line. A document whose lines are all removed keeps an empty text. Chunks with fewer than two lines
-    with a word are never removed; `least` of two leaves none but short texts. Further columns stay; those named like a new one are replaced.
+    one has one empty line. A document whose lines are all removed keeps an empty text. A text with fewer than two lines
+    with a word is never shortened. Further columns stay; those named like a new one are replaced.
     """
     removed = repeated_chunks(docs, text, id_col, least)
     kept = [f for f in docs.schema.fields if f.name not in ("n_lines", "n_removed_lines")]
@@ -187,14 +186,21 @@ WITH l AS (
   SELECT doc_id, i, ls[i] AS line, CAST('0x' || substr(md5(ls[i]), 1, 8) AS BIGINT) AS h
   FROM (SELECT doc_id, string_split(text, chr(10)) AS ls, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)),
 e AS (
-  SELECT *, CASE WHEN (coalesce(lag(h) OVER w, 0) * 31 + h) % 3 = 0 THEN 1 ELSE 0 END AS ends FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-c AS (SELECT *, coalesce(sum(ends) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM e),
-k AS (
-  SELECT doc_id, chunk, string_agg(line, chr(10) ORDER BY i) AS body,
-    count(*) FILTER (WHERE regexp_matches(line, '[^\x20\x09-\x0D]')) AS n
-  FROM c GROUP BY doc_id, chunk),
-r AS (SELECT doc_id, chunk, row_number() OVER (PARTITION BY body ORDER BY doc_id, chunk) AS nth FROM k WHERE n >= 2),
-g AS (SELECT c.doc_id, i, line, coalesce(nth, 1) > 1 AS gone FROM c LEFT JOIN r USING (doc_id, chunk))
+  SELECT *, regexp_matches(line, '[^\x20\x09-\x0D]') AS worded, CASE WHEN (coalesce(lag(h) OVER w, 0) * 31 + h) % 2 = 0 THEN 1 ELSE 0 END AS ends
+  FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+c AS (SELECT *, coalesce(sum(ends) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS part FROM e),
+w AS (SELECT doc_id, part, count(*) FILTER (worded) AS n FROM c GROUP BY doc_id, part),
+j AS (SELECT doc_id, list_reduce(list({'n': n, 'g': 0::BIGINT, 'every': [0::BIGINT]} ORDER BY part), lambda a, b: {
+    'n': CASE WHEN a.n >= 2 THEN b.n ELSE a.n + b.n END, 'g': a.g + CASE WHEN a.n >= 2 THEN 1 ELSE 0 END,
+    'every': list_append(a.every, a.g + CASE WHEN a.n >= 2 THEN 1 ELSE 0 END)}).every AS gs FROM w GROUP BY doc_id),
+m AS (SELECT doc_id, unnest(gs) AS chunk, generate_subscripts(gs, 1) - 1 AS part FROM j),
+x AS (SELECT c.doc_id, i, line, worded, chunk FROM c JOIN m USING (doc_id, part)),
+k AS (SELECT doc_id, chunk, string_agg(line, chr(10) ORDER BY i) AS own, count(*) FILTER (worded) AS n FROM x GROUP BY doc_id, chunk),
+p AS (SELECT doc_id, chunk, n < 2 AND lag(own) OVER w IS NOT NULL AS short, own, n, lag(own) OVER w AS before, lag(n) OVER w AS n_before
+  FROM k WINDOW w AS (PARTITION BY doc_id ORDER BY chunk)),
+b AS (SELECT doc_id, chunk, CASE WHEN short THEN before || chr(10) || own ELSE own END AS body, CASE WHEN short THEN n + n_before ELSE n END AS n FROM p),
+r AS (SELECT doc_id, chunk, row_number() OVER (PARTITION BY body ORDER BY doc_id, chunk) AS nth FROM b WHERE n >= 2),
+g AS (SELECT x.doc_id, i, line, coalesce(nth, 1) > 1 AS gone FROM x LEFT JOIN r USING (doc_id, chunk))
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed_lines,
   coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS text
 FROM g GROUP BY doc_id

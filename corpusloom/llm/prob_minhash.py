@@ -6,10 +6,12 @@ register keeps the shingle that arrives first. Both documents draw the same poin
 agrees with the probability Jaccard similarity as its probability. A shingle stops as soon as its next point comes
 later than what all registers have.
 
-Documents with the same words are one node. Bands of registers propose links: in each bucket of a band all nodes are
-compared with the one that shares most buckets with others, as an original does with its copies, and, once the links found so far are joined to components, with the nodes of other
-components in the bucket. So every two nodes in a bucket are in one component in the end, or have been compared, without
-listing the pairs inside large groups. Proposed links are verified on the shingles themselves.
+Documents with the same words are one node. Bands of registers propose links. In each bucket of a band the sketches of all
+nodes are compared with that of the one that shares most buckets with others, as an original does with its copies; and,
+once the links found so far are joined to components, with those of the nodes of other components in the bucket. So every two
+nodes in a bucket are in one component in the end, or their sketches have been compared. This is done where the bucket's
+sketches lie, a large bucket being cut into blocks, and only pairs whose sketches agree are put out. They are verified on
+the shingles themselves.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import types as T
 
 from corpusloom.llm.components import connected_components
 from corpusloom.llm.pretokens import Remembered, batches
-from corpusloom.operators.storage import settle
+from corpusloom.operators.storage import save_artifact, scratch_path, settle
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
@@ -35,8 +37,10 @@ BANDS, ROWS = 40, 6  # at a similarity of 0.8 all bands miss with a probability
 SIZE = BANDS * ROWS
 ORDERS = 4096
 CHARS_AT_ONCE = 2_000_000
-SKETCH_LEAST = 0.55  # ten standard deviations of the sketch's estimate below SIMILARITY
-SALTS = 16
+SKETCH_LEAST = 0.65  # a pair at SIMILARITY falls below it with a probability of 2e-8
+BLOCK_NODES = 2048  # of a bucket in one task
+PART_PAIRS = 256  # of one node in one task
+ROWS_AT_ONCE = 64
 
 _GOLDEN, _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -156,43 +160,115 @@ def _sketched(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def _alike(pairs: DataFrame) -> DataFrame:
-    """Pairs whose sketches agree in enough registers to be worth a look at the texts."""
+def _agreement(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Estimated similarity of sketches of a byte per register; two that differ still agree in one byte of 256."""
+    return ((one == others).mean(axis=-1) - 1 / 256) / (1 - 1 / 256)
 
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
-            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SIZE) for c in ("sketch_a", "sketch_b"))
-            share = ((left == right).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
-            yield batch.filter(pa.array(share >= SKETCH_LEAST)).select(["a", "b"])
 
-    return pairs.mapInArrow(run, "a long, b long")
+def _sketch_rows(batch: pa.RecordBatch) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, SIZE)
 
 
-def _verified(pairs: DataFrame, least: float) -> DataFrame:
-    """Pairs (with both texts) whose similarity is at least so high."""
+def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
-            known: dict[int, tuple] = {}
-            found = []
-            for a, b, left, right in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b")), strict=True):
-                if a not in known:
-                    known = {a: shingles(words_of(left))}  # pairs come sorted by a
-                found.append(probability_jaccard(known[a], shingles(words_of(right))) >= least)
-            yield batch.filter(pa.array(found, pa.bool_())).select(["a", "b"])
 
-    return pairs.mapInArrow(run, "a long, b long")
+def _near_centres(members: DataFrame) -> DataFrame:
+    """(a, b): the centre of a bucket and each of its nodes whose sketch agrees.
+
+    `members` has band, node, centre, parts and sketch. A large bucket is dealt over its parts, each with the centre's row.
+    """
+    own = members.where("node <> centre").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    lead = members.where("node = centre").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    rows = lead.unionByName(own).select("band", "part", (F.col("node") != F.col("centre")).alias("other"), "node", "sketch")
+    dealt = rows.repartition("band", "part").sortWithinPartitions("band", "part", "other")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_node, last_sketch = np.zeros(1, np.int64), np.zeros((1, SIZE), np.uint8)
+        for batch in batches:
+            other = batch.column("other").to_numpy(zero_copy_only=False)
+            nodes = np.concatenate([last_node, batch.column("node").to_numpy()])
+            sketch = np.concatenate([last_sketch, _sketch_rows(batch)])
+            # the row of the centre that stands before each row; 0 is the last one of the batch before
+            lead = np.maximum.accumulate(np.where(np.concatenate([[False], ~other]), np.arange(len(nodes)), 0))
+            at = np.flatnonzero(other) + 1
+            alike = at[_agreement(sketch[at], sketch[lead[at]]) >= SKETCH_LEAST]
+            yield _pairs(nodes[lead[alike]], nodes[alike])
+            last_node, last_sketch = nodes[lead[-1:]], sketch[lead[-1:]]
+
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def _near_others(members: DataFrame) -> DataFrame:
+    """(a, b), a < b: nodes of different components in a bucket whose sketches agree.
+
+    `members` has band, node, component, n and sketch. A bucket of n nodes is cut into blocks, and each pair of
+    blocks is a run of its own: the rows of the first as the left side, those of the second as the right one.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK_NODES).cast("int")
+    cut = members.withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("node"), blocks).cast("int")})
+    # block p is left of all blocks from p on, and right of all up to p
+    both = lambda q: F.struct(F.least("block", q).alias("p"), F.greatest("block", q).alias("q"), (F.col("block") <= q).alias("left"), (F.col("block") >= q).alias("right"))
+    sides = cut.withColumn("side", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), both)))
+    rows = sides.select("band", "side.p", "side.q", "side.left", "side.right", "node", "component", "sketch")
+    dealt = rows.repartition("band", "p", "q").sortWithinPartitions("band", "p", "q")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for left, right, node, component, sketch in _runs(batches):
+            for at in range(0, len(node), ROWS_AT_ONCE):
+                own = np.arange(at, min(at + ROWS_AT_ONCE, len(node)))
+                own = own[left[own]]
+                possible = (component[own, None] != component[None]) & right[None] & ((node[own, None] < node[None]) | ~(left & right)[None])
+                i, j = np.nonzero(possible)
+                for k in range(0, len(i), 1 << 18):
+                    x, y = own[i[k : k + (1 << 18)]], j[k : k + (1 << 18)]
+                    alike = _agreement(sketch[x], sketch[y]) >= SKETCH_LEAST
+                    x, y = node[x[alike]], node[y[alike]]
+                    yield _pairs(np.minimum(x, y), np.maximum(x, y))
+
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Columns of the rows that agree in band, p and q, across the batches."""
+    held, last = [], None
+    for batch in batches:
+        keys = np.array([batch.column(c).to_numpy() for c in ("band", "p", "q")])
+        rest = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("left", "right", "node", "component")] + [_sketch_rows(batch)]
+        starts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+        for a, b in zip([0, *starts.tolist()], [*starts.tolist(), batch.num_rows], strict=True):
+            key = tuple(keys[:, a]) if b > a else last
+            if held and key != last:
+                yield tuple(np.concatenate(c) for c in zip(*held, strict=True))
+                held = []
+            if b > a:
+                held.append([c[a:b] for c in rest])
+                last = key
+    if held:
+        yield tuple(np.concatenate(c) for c in zip(*held, strict=True))
+
+
+def _verified(pairs: DataFrame, body: DataFrame, least: float) -> DataFrame:
+    """Pairs whose similarity is at least so high. The text of a travels once for each part of its pairs, that of b once a pair."""
+    parts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PART_PAIRS).alias("parts"))
+    counted = pairs.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")))
+    text = body.withColumnRenamed("node", "b")
+    right = counted.join(text, "b").select("a", "part", "b", "text")
+    left = parts.join(body.withColumnRenamed("node", "a"), "a").select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"), "text")
+    dealt = left.unionByName(right).repartition("a", "part").sortWithinPartitions("a", "part", "b")
 
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = None
+        for batch in rows:
+            found: list[tuple[int, int]] = []
+            for a, b, text in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "text")), strict=True):
+                if b is None:
+                    known = shingles(words_of(text))  # the first row of its part
+                elif probability_jaccard(known, shingles(words_of(text))) >= least:
+                    found.append((a, b))
+            yield _pairs(*np.array(found, np.int64).reshape(-1, 2).T)
 
-def _with(pairs: DataFrame, table: DataFrame, value: str) -> DataFrame:
-    """Adds value_a and value_b to pairs. Node a may be in very many pairs, so its row is spread over salts."""
-    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
-    hot = pairs.groupBy("a").agg((F.count("*") > 4 * SALTS).alias("hot"))
-    every = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(-1)))
-    left = table.join(hot, table["node"] == hot["a"]).select("a", F.col(value).alias(f"{value}_a"), "hot", F.explode(every).alias("salt"))
-    salted = salted.join(hot, "a").withColumn("salt", F.when(F.col("hot"), F.col("salt").cast("int")).otherwise(F.lit(-1)))
-    right = table.select(F.col("node").alias("b"), F.col(value).alias(f"{value}_b"))
-    return salted.join(left.drop("hot"), ["a", "salt"]).join(right, "b").select("a", "b", f"{value}_a", f"{value}_b")
+    return dealt.select("a", "b", "text").mapInArrow(run, "a long, b long")
 
 
 def near_duplicate_classes(docs: DataFrame, text: str = "text", id_col: str = "doc_id", least: float = SIMILARITY) -> DataFrame:
@@ -203,41 +279,34 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", id_col: str = "d
     null text counting as empty. Others are linked at a similarity of at least `least`. A null id is never a class id
     unless all ids of a class are null. `digest` is xxhash64 of the text, to tell rows with the same id apart.
     """
-    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("digest"), F.col(text).alias("text"))
-    rows = settle(_sketched(texts))
-    nodes = settle(rows.groupBy("node").agg(F.min("id").alias("least_id"), F.first(F.struct("id", "digest", "bands", "sketch")).alias("one")))
-    banded = nodes.select("node", F.explode("one.bands").alias("band"))
+    own = F.col(f"`{text}`")
+    texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(own).alias("digest"), own.alias("text"))
+    spark = docs.sparkSession
+    rows = save_artifact(_sketched(texts), scratch_path(spark, "sketches"))
+    first = F.first(F.struct("id", "digest", "bands", "sketch")).alias("one")
+    nodes = save_artifact(rows.groupBy("node").agg(F.min("id").alias("least_id"), first).select("node", "least_id", "one.*"), scratch_path(spark, "nodes"))
+    banded = nodes.select("node", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     shared = settle(banded.join(buckets, "band"))
     # what others are copies of shares buckets with most of them, so it is the one to compare with
     shares = settle(shared.groupBy("node").agg(F.sum("n").alias("shares")))
+    sketch = nodes.select("node", "sketch")
     ranked = shared.join(shares, "node")
     middle = ranked.groupBy("band").agg(F.max(F.struct("shares", "node")).alias("top")).select("band", F.col("top.node").alias("centre"))
-    members = settle(shared.select("band", "node").join(middle, "band"))
-    met = shares.select("node")
-    known = nodes.join(met, "node").select("node", "one.id", "one.digest", "one.sketch")
-    sketch = settle(known)
-    own = sketch.select("node", F.col("id").alias("_id"), F.col("digest").alias("_digest"))
+    members = settle(shared.join(middle, "band"))
+    own = nodes.join(shares.select("node"), "node", "left_semi").select("node", F.col("id").alias("_id"), F.col("digest").alias("_digest"))
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
     body = settle(texts.join(own, same).select("node", "text").dropDuplicates(["node"]))
 
-    def links(pairs: DataFrame) -> DataFrame:
-        alike = settle(_alike(_with(pairs, sketch, "sketch")))
-        both = _with(alike, body, "text").sortWithinPartitions("a")
-        return settle(_verified(both, least))
-
-    stars = settle(members.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct())
-    found = links(stars)
+    parts = F.ceil(F.col("n") / BLOCK_NODES).alias("parts")
+    stars = settle(_near_centres(members.select("band", "node", "centre", parts).join(sketch, "node")))
+    found = settle(_verified(stars, body, least))
     joined = connected_components(found)
-    placed = members.join(joined, "node", "left").select("band", "node", F.coalesce("component", "node").alias("component"))
-    placed = settle(placed)
-    sizes = placed.groupBy("band", "component").agg(F.count("*").alias("n"))
-    most = sizes.groupBy("band").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("kinds")).where("kinds > 1")
-    mixed = placed.join(most.select("band", F.col("most.component").alias("main")), "band")
-    odd = mixed.where("component <> main").select("band", F.col("node").alias("x"), F.col("component").alias("cx"))
-    crossing = odd.join(placed, "band").where("cx <> component").select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+    placed = settle(members.select("band", "node", "n").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    mixed = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band")
     seen = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = links(crossing.join(seen, ["a", "b"], "left_anti"))
+    crossing = _near_others(placed.join(mixed, "band", "left_semi").join(sketch, "node"))
+    more = settle(_verified(settle(crossing.join(seen, ["a", "b"], "left_anti")), body, least))
     joined = connected_components(found.unionByName(more))
     classes = nodes.select("node", "least_id").join(joined, "node")
     lowest = classes.groupBy("component").agg(F.min("least_id").alias("class_id"))
@@ -251,8 +320,11 @@ def keep_one_per_class(docs: DataFrame, text: str = "text", id_col: str = "doc_i
     """The document with the lowest id of each class; one row of it where rows are repeated. Columns stay as they are."""
     classes = settle(near_duplicate_classes(docs, text, id_col, least))
     lowest = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "digest")).alias("kept")
-    kept = classes.groupBy("class_node").agg(lowest).select(F.col("kept.id").alias("_id"), F.col("kept.digest").alias("_digest"))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_digest"))
-    out = docs.join(kept, same, "left_semi")
+    kept = classes.groupBy("class_node").agg(lowest).select(F.col("kept.id").alias("k_id"), F.col("kept.digest").alias("k_digest"))
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    own_id, own_text = (names[docs.columns.index(c)] for c in (id_col, text))
+    plain = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)])
+    out = plain.join(kept, F.col(own_id).eqNullSafe(F.col("k_id")) & (F.xxhash64(own_text) == F.col("k_digest")), "left_semi")
     repeated = classes.groupBy("id", "digest").agg(F.count("*").alias("n")).where("n > 1")
-    return out if repeated.isEmpty() else out.dropDuplicates([id_col, text])
+    out = out if repeated.isEmpty() else out.dropDuplicates([own_id, own_text])
+    return out.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])

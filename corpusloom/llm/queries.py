@@ -60,12 +60,6 @@ def op9(spark, sf_dir):
     return line_chunks.dedup_lines(documents(spark, sf_dir))
 
 
-@query("op9_line_passages")
-def op9_passages(spark, sf_dir):
-    """The same with borders that take effect behind two lines with a word only; the SQL above has every border."""
-    return line_chunks.dedup_lines(documents(spark, sf_dir), least=line_chunks.LEAST_LINES)
-
-
 @query("op3_prob_minhash")
 def op3(spark, sf_dir):
     """The class of near-duplicates of every document."""

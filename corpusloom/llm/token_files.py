@@ -3,21 +3,23 @@
 A folder holds two Parquet tables. `dictionary` has one row: the dictionary trained on serialised id arrays of some
 documents, its SHA-256 and the width of an id. `shards` has a row per block of consecutive documents in ascending id
 order: the frames of the documents one after the other, and per document its id, the offset and size of its frame and
-its number of tokens, with the hash of the dictionary that the frames need. A short document is read from its block by
+its number of tokens, with the lowest and the highest id and the hash of the dictionary that the frames need. A short document is read from its block by
 slicing one frame. Spark's committer writes the tables, so a lost executor leaves no half-written file behind.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import itertools
+import operator
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,6 +62,7 @@ def _shard_type(id_field: T.StructField) -> T.StructType:
     arrays = [T.StructField("ids", T.ArrayType(id_field.dataType))]
     arrays += [T.StructField(n, T.ArrayType(T.LongType())) for n in ("offsets", "sizes", "tokens")]
     numbers = [T.StructField(n, T.LongType()) for n in ("part", "first_start", "n_tokens")]
+    numbers += [T.StructField(n, id_field.dataType) for n in ("least_id", "greatest_id")]
     return T.StructType([*numbers, T.StructField("dictionary_sha256", T.StringType()), *arrays, T.StructField("frames", T.BinaryType())])
 
 
@@ -69,6 +72,8 @@ def _block(part: int, written: int, digest: str, docs: list[tuple], id_type: pa.
     offsets = [sum_ - n for sum_, n in zip(itertools.accumulate(sizes), sizes, strict=True)]
     numbers = {"part": part, "first_start": written, "n_tokens": sum(tokens)}
     columns = {k: pa.array([v], pa.int64()) for k, v in numbers.items()}
+    known = [k for k in keys if k is not None]  # in ascending order
+    columns |= {"least_id": pa.array(known[:1] or [None], id_type), "greatest_id": pa.array(known[-1:] or [None], id_type)}
     columns |= {"dictionary_sha256": pa.array([digest]), "ids": pa.array([keys], pa.list_(id_type))}
     columns |= {k: pa.array([v], pa.list_(pa.int64())) for k, v in (("offsets", offsets), ("sizes", sizes), ("tokens", tokens))}
     return pa.RecordBatch.from_pydict(columns | {"frames": pa.array([b"".join(frames)], pa.binary())})
@@ -119,10 +124,19 @@ def _read_dictionary(spark: SparkSession, path: str) -> tuple[str, bytes, str]:
     return row["sha256"], bytes(row["data"]), row["id_type"]
 
 
+def _may_hold(only: list) -> Column:
+    """Whether the range of a block's ids holds one of these; blocks with a null id have to be looked into for a null."""
+    near = [(F.col("least_id") <= k) & (F.col("greatest_id") >= k) for k in sorted({k for k in only if k is not None})]
+    if None in only:
+        near.append(F.exists("ids", lambda k: k.isNull()))
+    return functools.reduce(operator.or_, near, F.lit(False))
+
+
 def read_token_files(spark: SparkSession, path: str, id_col: str = "doc_id", only: list | None = None) -> DataFrame:
     """One row per document: id, start (ids of all documents before it), n_tokens and the ids, 4 bytes each.
 
-    With `only`, blocks without these ids are skipped and just their frames are decompressed.
+    With `only`, a scan skips the blocks whose lowest and highest id leave none of these ids between them, by the file's own
+    statistics, and just the frames asked for are decompressed. A null in `only` asks for documents without an id.
     """
     digest, shared, dtype = _read_dictionary(spark, path)
     shards = spark.read.parquet(f"{path}/shards")
@@ -131,7 +145,7 @@ def read_token_files(spark: SparkSession, path: str, id_col: str = "doc_id", onl
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start"))
     if only is not None:
-        shards = shards.where(F.arrays_overlap("ids", F.array(*map(F.lit, only))))
+        shards = shards.where(_may_hold(only))
     placed = shards.join(F.broadcast(starts), "part").withColumn("first_start", F.col("first_start") + F.col("part_start"))
     key_type = shards.schema["ids"].dataType.elementType
     numbers = T._parse_datatype_string("start long, n_tokens long, token_ids binary").fields

@@ -90,11 +90,13 @@ def without_chunks(docs):
     seen, out = set(), {}
     for key, text in sorted(docs):
         kept = []
-        for chunk in line_chunks.chunks(text):
-            body = "\n".join(chunk)
-            if line_chunks.comparable(chunk) and body in seen:
+        cut = line_chunks.chunks(text)
+        for k, chunk in enumerate(cut):
+            lines = line_chunks.compared(cut, k)
+            body = "\n".join(lines)
+            if line_chunks.comparable(lines) and body in seen:
                 continue
-            if line_chunks.comparable(chunk):
+            if line_chunks.comparable(lines):
                 seen.add(body)
             kept += chunk
         out[key] = "\n".join(kept)
@@ -131,3 +133,54 @@ def best_labels(scores, moves):
 
 def sha(data):
     return hashlib.sha256(data).hexdigest()
+def repaired(rows):
+    """(cost, letters, repaired rows) of the cheapest edits of (role, text) rows, every path written out; equal costs: least letters."""
+    reads = {("s", 0): 1, ("u", 0): 2, ("u", 1): 2, ("u", 3): 2, ("a", 2): 3}
+    best, seen = {0: (0, "", ())}, set()
+    for role, text in rows:
+        body = text.strip("\x20\x09\x0a\x0b\x0c\x0d")
+        gone = not body or (role, text) in seen
+        late = 3 * (not gone and body[-1] not in ".!?")
+        seen.add((role, text))
+        after = {}
+        for state, (cost, letters, out) in best.items():
+            for n in range(4):
+                moves = [(state, 4, "D", ())]
+                if not gone:
+                    moves += [(reads.get((new[:1], state)), 3 * (letter == "R") + late, letter, ((new, text),)) for letter, new in (("K", role), ("R", "user"), ("R", "assistant"))]
+                for to, more, letter, row in moves:
+                    path = (cost + more, letters + letter, out + row)
+                    if to is not None and (to not in after or path[:2] < after[to][:2]):
+                        after[to] = path
+                new = "assistant" if state == 2 else "user"
+                state, cost, letters, out = (3 if state == 2 else 2), cost + 3, letters + "I", (*out, (new, ""))
+        best = after
+    ends = {0: (), 1: (("user", ""), ("assistant", "")), 2: (("assistant", ""),), 3: ()}
+    return min((c + 3 * len(ends[s]), w + "I" * len(ends[s]), out + ends[s]) for s, (c, w, out) in best.items())
+
+
+def fewest_phrases(text, sample, stretch):
+    """Phrases of a greedy parse of `text` by strings of `sample`, or single unknown bytes, stretch by stretch."""
+    count = 0
+    for at in range(0, len(text), stretch):
+        rest = text[at : at + stretch]
+        while rest:
+            n = 1
+            while n < len(rest) and rest[: n + 1] in sample:
+                n += 1
+            count, rest = count + 1, rest[n:]
+    return count
+
+
+def k_means(vectors, k, rounds):
+    """(cluster, squared distance) of each (id, integers), and the centroids, all compared with all."""
+    order = sorted(vectors, key=lambda v: (sha(f"1:{'' if v[0] is None else v[0]}".encode()), v[1]))
+    centroids = [list(v) for _, v in order[:k]]
+    nearest = lambda x: min((sum((a - b) ** 2 for a, b in zip(x, c, strict=True)), j) for j, c in enumerate(centroids))
+    for _ in range(rounds):
+        own = collections.defaultdict(list)
+        for _, x in vectors:
+            own[nearest(x)[1]].append(x)
+        for j, xs in own.items():
+            centroids[j] = [sum(column) // len(xs) for column in zip(*xs, strict=True)]
+    return [nearest(x)[::-1] for _, x in vectors], centroids
