@@ -25,7 +25,7 @@ from corpusloom.operators.storage import settle_for_fits
 BLOCK_ROWS = 512
 LEAST_VARIANCE = 1e-6
 SEED_ROWS = 1_000  # bound of the sample in which the first means are looked for
-TOLERANCE = 1e-3
+TOLERANCE, RELATIVE = 1e-3, 1e-5  # of the mean log likelihood of a row, which grows with the width of the rows
 
 
 @dataclass
@@ -183,7 +183,7 @@ def _moments(row: dict, _) -> np.ndarray:
 
 
 def fit_mixtures(rows: Rows, ks: list[int], rank: int, max_iter: int = 100, seed: int = 0) -> list[Mixture]:
-    """All mixtures at once; each is done when its mean log likelihood changes by less than TOLERANCE."""
+    """All mixtures at once; each is done when its mean log likelihood changes by less than TOLERANCE, or RELATIVE of itself."""
     if not rows.n:
         raise ValueError("a mixture needs rows")
     total = sweep(rows.table, rows.blocks, {0: True}, _moments)[0]
@@ -203,7 +203,8 @@ def fit_mixtures(rows: Rows, ks: list[int], rank: int, max_iter: int = 100, seed
             for i in own[s]:
                 better, flat = _improve(mixtures[i], flat, rows.n)
                 mixtures[i].log_likelihood, mixtures[i].rows = better.log_likelihood, rows.n
-                if abs(better.log_likelihood - before[i]) / rows.n >= TOLERANCE and t < max_iter:
+                least = max(TOLERANCE, RELATIVE * abs(better.log_likelihood) / rows.n)
+                if abs(better.log_likelihood - before[i]) / rows.n >= least and t < max_iter:
                     before[i], mixtures[i] = better.log_likelihood, better
                     going.append(i)
         live = sorted(going)

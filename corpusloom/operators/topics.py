@@ -37,7 +37,8 @@ def lda_grid_search(
     df: DataFrame, ks: list[int], decays: list[float], folds: int = 5, max_iter: int = 10, seed: int = 0,
     id_col: str = ID,
 ) -> tuple[DataFrame, TopicModel, dict]:
-    """Cross-validated log likelihood of every (k, decay), the refitted best model and its parameters.
+    """Cross-validated log likelihood of every (k, decay), the refitted best model and its parameters. `start_score` is the
+    likelihood of the same held-out documents before the first iteration.
 
     All settings and folds read each block of documents together; the best is then fitted once more on all of them.
     """
@@ -45,13 +46,15 @@ def lda_grid_search(
     held = many_topics.document_blocks(settle(df.select(id_col, "features", fold.cast("int").alias("fold"))), id_col, seed=seed)
     specs = [Spec(k, d, f) for k in ks for d in decays for f in range(folds)]
     models = many_topics.fit_topics(held, specs, max_iter, seed)
-    found = [(s.k, s.decay, s.fold, *scores) for s, scores in zip(specs, many_topics.topic_scores(held, models), strict=True)]
+    start = many_topics.topic_scores(held, [many_topics.first_model(s, held.n_words, seed) for s in specs])
+    after = many_topics.topic_scores(held, models)
+    found = [(s.k, s.decay, s.fold, *scores, first) for s, scores, (first, _) in zip(specs, after, start, strict=True)]
     means = {(k, d): sum(r[3] for r in found if r[:2] == (k, d)) / folds for k in ks for d in decays}
     k, decay = max(means, key=means.get)
     best = many_topics.fit_topics(held, [Spec(k, decay)], max_iter, seed)[0]
     chosen = {"k": k, "learning_decay": decay, "score": means[k, decay], "perplexity": many_topics.topic_scores(held, [best])[0][1]}
     held.release()
-    results = df.sparkSession.createDataFrame(found, "k int, learning_decay double, fold int, score double, perplexity double")
+    results = df.sparkSession.createDataFrame(found, "k int, learning_decay double, fold int, score double, perplexity double, start_score double")
     return results, best, chosen
 
 

@@ -228,24 +228,23 @@ def learning_curve_grid(spark, sf_dir):
 
 
 def _lda_grid(spark, sf_dir):
-    rows, vocab = counts(spark, sf_dir)
-    return topics.lda_grid_search(rows, LDA_KS, LDA_DECAYS, folds=LDA_FOLDS)[0], len(vocab.terms)
+    return topics.lda_grid_search(counts(spark, sf_dir)[0], LDA_KS, LDA_DECAYS, folds=LDA_FOLDS)[0]
 
 
 @query(
     "lda_grid_search",
-    f"SELECT cast(k AS INT) AS k, cast(d AS DOUBLE) AS learning_decay, cast(fold AS INT) AS fold, true AS beats_uniform FROM (SELECT unnest({LDA_KS}) AS k), "
+    f"SELECT cast(k AS INT) AS k, cast(d AS DOUBLE) AS learning_decay, cast(fold AS INT) AS fold, true AS beats_start FROM (SELECT unnest({LDA_KS}) AS k), "
     f"(SELECT unnest({LDA_DECAYS}) AS d), range(0, {LDA_FOLDS}) r(fold) WHERE EXISTS (SELECT 1 FROM documents)",
 )
 def lda_grid_search(spark, sf_dir):
-    found, n_words = _lda_grid(spark, sf_dir)
-    return found.select("k", "learning_decay", "fold", F.col("perplexity").between(1, n_words).alias("beats_uniform"))
+    beats = (F.col("score") > F.col("start_score")) & (F.col("score") < 0) & (F.col("perplexity") > 1)
+    return _lda_grid(spark, sf_dir).select("k", "learning_decay", "fold", beats.alias("beats_start"))
 
 
 @query("lda_grid_scores")
 def lda_grid_scores(spark, sf_dir):
     """Likelihood and perplexity of every setting and fold."""
-    return _lda_grid(spark, sf_dir)[0]
+    return _lda_grid(spark, sf_dir)
 
 
 def _doc_topics(spark, sf_dir):
