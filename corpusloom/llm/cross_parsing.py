@@ -32,6 +32,7 @@ LANGUAGE_BYTES, ALL_BYTES = 64 << 10, 1 << 20  # bounds of the labelled sample:
 SAMPLE_CHARS = 2_048  # the sample is drawn in pieces of texts of so many characters
 SPARE = 3  # so many times more pieces are drawn than needed, as copies count once
 SHARES = 1 << 30
+LEAST_SIZE = 4_096  # a smaller sample counts as one of so many bytes: its phrases are short, which must not make them cheap
 BREAK = b"\xff"  # in no UTF-8 text, so no phrase runs from one piece of the sample into another
 STRETCH = 1_024
 BYTES_AT_ONCE = 4_000_000
@@ -127,7 +128,7 @@ def bits(texts: list[bytes], languages: list[Language], tables: list[tuple]) ->
     out = np.zeros((len(texts), len(languages)))
     for k, (language, own) in enumerate(zip(languages, tables, strict=True)):
         found = np.bincount(owner[order], phrases(flat, start[order], length[order], own), len(texts))
-        out[:, k] = found * math.log2(max(2, language.size)) / np.maximum(sizes, 1)
+        out[:, k] = found * math.log2(max(LEAST_SIZE, language.size)) / np.maximum(sizes, 1)
     return out
 
 

@@ -135,7 +135,7 @@ def test_parse_is_greedy():
         got = parsing.bits(texts, [language], [language.tables()])[:, 0]
         for text, value in zip(texts, got, strict=True):
             wanted = plain.fewest_phrases(text, sample, parsing.STRETCH)
-            assert value == pytest.approx(wanted * np.log2(len(sample)) / max(1, len(text)))
+            assert value == pytest.approx(wanted * np.log2(parsing.LEAST_SIZE) / max(1, len(text)))
 
 
 def test_languages_of_documents(spark, sf_dir):
@@ -156,7 +156,7 @@ def test_languages_of_documents(spark, sf_dir):
 
 
 def test_odd_texts_and_no_languages(spark):
-    rows = [(1, None, "en"), (2, "", "en"), (3, "12 ½ !!", None), (3, "12 ½ !!", None), (None, "the cat sat on the mat", "en"), (4, "le chat dans la maison", "fr"), (5, "the house " * 300_000, "en")]
+    rows = [(1, None, "en"), (2, "", "en"), (3, "12 ½ !!", None), (3, "12 ½ !!", None), (None, "the cat sat on the mat", "en"), (4, "le chat dans la maison", "fr"), (5, "the house on the mat and the cat sat " * 80_000, "en")]
     df = spark.createDataFrame([(*r, 1, "q") for r in rows], "doc_id long, text string, lang string, bits int, score string")
     learned = parsing.train_languages(df)
     assert {x.name: x.documents for x in learned} == {"en": 2, "fr": 1}
@@ -169,6 +169,15 @@ def test_odd_texts_and_no_languages(spark):
     assert parsing.identify_languages(df.where("doc_id = 77"), learned).count() == 0
 
 
+def test_a_small_sample_is_not_cheap():
+    rng = random.Random(12)
+    some = lambda letters, n: " ".join("".join(rng.choice(letters) for _ in range(3)) for _ in range(n)).encode()
+    large, small = some("abcde", 8_000), some("axyz", 6)
+    languages = [parsing.Language(n, len(s), 1, parsing.suffix_automaton(s)) for n, s in (("large", large), ("small", small))]
+    best, _ = parsing.choose(parsing.bits([some("abcde", 20), small], languages, [x.tables() for x in languages]), languages)
+    assert best.tolist() == [0, 1]
+
+
 def test_equal_languages_go_to_the_more_common():
     sample = parsing.suffix_automaton(b" abc ")
     languages = [parsing.Language("a", 5, 2, sample), parsing.Language("b", 5, 9, sample), parsing.Language("c", 5, 9, sample)]
