@@ -78,6 +78,20 @@ def unpack_rows(row: dict) -> np.ndarray:
     return out
 
 
+EVERY_SLICE = -1
+LEAST_SLICES = 8
+
+
+def copies_of_blocks(blocks: int, cores: int) -> tuple[int, list[int]]:
+    """(slices of the models, the slices that a block is written for).
+
+    Few blocks are copied, so that every core has a slice of the models to work on; many blocks keep all cores busy as they
+    are. The sums of each slice meet in a task of their own either way.
+    """
+    slices = max(LEAST_SLICES, round(2 * cores / blocks))
+    return slices, [EVERY_SLICE] if blocks >= cores else list(range(slices))
+
+
 def deal(sizes: list[int], slices: int) -> list[list[int]]:
     """Numbers of the models of each slice, the largest first to the slice that has least to do."""
     own: list[list[int]] = [[] for _ in range(slices)]
@@ -102,7 +116,7 @@ def _add(group: pd.DataFrame) -> pd.DataFrame:
 def sweep(held: DataFrame, blocks: int, sent: dict[int, object], work: Callable[[dict, object], np.ndarray]) -> dict[int, np.ndarray]:
     """work(row of `held` as a dict, sent[slice]) summed over all blocks, for every slice that has something sent.
 
-    `held` has the columns slice, -1 standing for all slices, and block; `blocks` says about how many blocks there are. What is sent
+    `held` has the columns slice, or EVERY_SLICE, and block; `blocks` says about how many blocks there are. What is sent
     is broadcast: it has the size of the models' parameters.
     """
     broadcast = held.sparkSession.sparkContext.broadcast(sent)
@@ -113,7 +127,7 @@ def sweep(held: DataFrame, blocks: int, sent: dict[int, object], work: Callable[
         for batch in batches:
             for values in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 row = dict(zip(names, values, strict=True))
-                for s in broadcast.value if row["slice"] == -1 else {row["slice"]} & broadcast.value.keys():
+                for s in broadcast.value if row["slice"] == EVERY_SLICE else {row["slice"]} & broadcast.value.keys():
                     got = work(row, broadcast.value[s])
                     if s in sums:
                         sums[s][1] += got

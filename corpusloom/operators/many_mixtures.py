@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from corpusloom.functions.kernel import dense_rows
-from corpusloom.operators.blocks import ddl, deal, fields, numbered_batches, one_row, pack_rows, places_and_values, sweep, unpack_rows, width
+from corpusloom.operators.blocks import copies_of_blocks, ddl, deal, fields, numbered_batches, one_row, pack_rows, places_and_values, sweep, unpack_rows, width
 from corpusloom.operators.ranking import sample_n
 from corpusloom.operators.storage import settle_for_fits
 
@@ -146,16 +146,16 @@ def row_blocks(df: DataFrame, id_col: str = "paper_number", features: str = "fea
     d, n = width(df, features), df.count()
     blocks = max(1, math.ceil(n / BLOCK_ROWS))
     cores = df.sparkSession.sparkContext.defaultParallelism
-    slices = max(1, round(2 * cores / blocks))
+    slices, written = copies_of_blocks(blocks, cores)
     places, values = places_and_values(features, d)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, batch in numbered_batches(batches, BLOCK_ROWS):
             packed = pack_rows(batch.column("places"), batch.column("values"))
-            for s in range(slices):
+            for s in written:
                 yield one_row(SCHEMA, s, number, d, *packed)
 
-    made = df.select(places.alias("places"), values.alias("values")).coalesce(blocks).mapInArrow(run, ddl(SCHEMA)).repartition(min(blocks * slices, 4 * cores))
+    made = df.select(places.alias("places"), values.alias("values")).coalesce(blocks).mapInArrow(run, ddl(SCHEMA)).repartition(min(blocks * len(written), 4 * cores))
     chosen = sample_n(df.select(id_col, features), SEED_ROWS, seed, id_col).select(id_col, places.alias("places"), values.alias("values"))
     taken = sorted(chosen.collect(), key=lambda r: str(r[0]))
     sample = np.zeros((len(taken), d))

@@ -208,3 +208,16 @@ def test_token_head_and_cluster_join(spark):
     assert text.cluster_tokens(clusters, df, "paper_number", n=2).first().tokens == ["a", "b"]
     assert text.cluster_count(clusters).first().clusters == 1
     assert df.select(F.size("tokens")).first()[0] == 3
+
+
+def test_large_vocabularies_on_moved_rows(spark):
+    """Rows behind a shuffle: each is numbered once, whatever is computed again."""
+    rng = random.Random(11)
+    rows = [(i % 40, [rng.choice("abcdefgh") + str(rng.randrange(3)) for _ in range(rng.randrange(6))]) for i in range(120)] + [(7, None), (7, [])]
+    df = spark.createDataFrame(rows, "id int, tokens array<string>").repartition(5)
+    vocab = spark.createDataFrame([(f"{c}{n}", 10 + i) for i, (c, n) in enumerate((c, n) for c in "abcd" for n in range(3))], "term string, id int")
+    for large, small in (
+        (text.vocab_filter(df, vocab, "id", literals=0), text.vocab_filter(df, vocab, "id")),
+        (encode.encode_token_ids(df, vocab, "id", max_len=8, lookup_terms=0), encode.encode_token_ids(df, vocab, "id", max_len=8)),
+    ):
+        assert sorted(map(repr, large.collect())) == sorted(map(repr, small.collect()))
