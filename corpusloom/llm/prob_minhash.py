@@ -9,7 +9,8 @@ later than what all registers have.
 Documents with the same words are one node. Bands of registers propose links. In each bucket of a band the sketches of all
 nodes are compared with that of the one that shares most buckets with others, as an original does with its copies; and,
 once the links found so far are joined to components, with those of the nodes of other components in the bucket. So every two
-nodes in a bucket are in one component in the end, or their sketches have been compared. This is done where the bucket's
+nodes in a bucket are in one component in the end, or their sketches have been compared. The second step runs twice, first
+for the best partner of each node in each bucket, which joins most of a large group. This is done where the bucket's
 sketches lie, a large bucket being cut into blocks, and only pairs whose sketches agree are put out. They are verified on
 the shingles themselves.
 """
@@ -199,8 +200,9 @@ def _near_centres(members: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def _near_others(members: DataFrame) -> DataFrame:
-    """(a, b), a < b: nodes of different components in a bucket whose sketches agree.
+def _near_others(members: DataFrame, best: bool = False) -> DataFrame:
+    """(a, b), a < b: nodes of different components in a bucket whose sketches agree; with `best`, of each node in each run
+    only the pair that agrees most.
 
     `members` has band, node, component, n and sketch. A bucket of n nodes is cut into blocks, and each pair of
     blocks is a run of its own: the rows of the first as the left side, those of the second as the right one.
@@ -222,7 +224,11 @@ def _near_others(members: DataFrame) -> DataFrame:
                 i, j = np.nonzero(possible)
                 for k in range(0, len(i), 1 << 18):
                     x, y = own[i[k : k + (1 << 18)]], j[k : k + (1 << 18)]
-                    alike = _agreement(sketch[x], sketch[y]) >= SKETCH_LEAST
+                    share = _agreement(sketch[x], sketch[y])
+                    alike = np.flatnonzero(share >= SKETCH_LEAST)
+                    if best and len(alike):
+                        alike = alike[np.lexsort((share[alike], x[alike]))]
+                        alike = alike[np.append(x[alike[1:]] != x[alike[:-1]], True)]
                     x, y = node[x[alike]], node[y[alike]]
                     yield _pairs(np.minimum(x, y), np.maximum(x, y))
 
@@ -301,13 +307,17 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", id_col: str = "d
     parts = F.ceil(F.col("n") / BLOCK_NODES).alias("parts")
     stars = settle(_near_centres(members.select("band", "node", "centre", parts).join(sketch, "node")))
     found = settle(_verified(stars, body, least))
-    joined = connected_components(found)
-    placed = settle(members.select("band", "node", "n").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")))
-    mixed = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band")
     seen = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    crossing = _near_others(placed.join(mixed, "band", "left_semi").join(sketch, "node"))
-    more = settle(_verified(settle(crossing.join(seen, ["a", "b"], "left_anti")), body, least))
-    joined = connected_components(found.unionByName(more))
+    # the best partners first: most of a large group is one component after them, and its other pairs need no look
+    for best in (True, False):
+        joined = connected_components(found)
+        placed = settle(members.select("band", "node", "n").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")))
+        mixed = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band")
+        crossing = _near_others(placed.join(mixed, "band", "left_semi").join(sketch, "node"), best)
+        pairs = settle(crossing.join(seen, ["a", "b"], "left_anti"))
+        found = settle(found.unionByName(_verified(pairs, body, least)))
+        seen = seen.unionByName(pairs)
+    joined = connected_components(found)
     classes = nodes.select("node", "least_id").join(joined, "node")
     lowest = classes.groupBy("component").agg(F.min("least_id").alias("class_id"))
     linked = settle(classes.join(lowest, "component").select("node", "component", F.col("class_id").alias("linked_id")))
