@@ -68,7 +68,9 @@ class KernelMap:
         return rbf(dense, self.landmarks, self.gamma) @ self.turn
 
     def error(self, dense: np.ndarray) -> float:
-        """The largest difference from the kernel between any two rows."""
+        """The largest difference from the kernel between any two rows; 1 for a map that was made without rows."""
+        if not self.dim:
+            return 1.0
         mapped = self.apply(dense)
         return float(np.abs(mapped @ mapped.T - rbf(dense, dense, self.gamma)).max(initial=0))
 

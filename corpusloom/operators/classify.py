@@ -103,8 +103,8 @@ def svm_fit(
 
 
 def svm_score(model: SvmModel, corpus: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Decision score and predicted label of every row; positive scores mean class 1."""
-    score = decision_udf(model.weights, model.dim, model.map)(*places_and_values(dim=model.dim))
+    """Decision score and predicted label of every row; positive scores mean class 1. A model of no rows scores 0."""
+    score = decision_udf(model.weights, model.dim, model.map)(*places_and_values(dim=model.dim)) if model.dim else F.lit(0.0)
     scored = corpus.select(*(keep or [ID]), score.alias("score"))
     return scored.withColumn("prediction", (F.col("score") > 0).cast("int"))
 

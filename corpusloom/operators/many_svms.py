@@ -320,7 +320,8 @@ def fit_many(
             for i, w in zip(placed[s], flat.reshape(len(placed[s]), -1), strict=True):
                 out[i] = w
         return out
-    descents = [Descent(np.array([out[i] for i in ids]).reshape(len(ids), -1), facts[4, ids], max_iter, facts[2:4, ids].any(axis=0)) for ids in own]
+    first = [np.array([out[i] for i in ids]).reshape(len(ids), w + 1) for ids, w in zip(own, held.widths, strict=True)]
+    descents = [Descent(x, facts[4, ids], max_iter, facts[2:4, ids].any(axis=0)) for x, ids in zip(first, own, strict=True)]
     while any(d.live.any() for d in descents):
         sent, asked = {}, []
         for k, descent in enumerate(descents):

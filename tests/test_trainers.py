@@ -80,6 +80,12 @@ def test_no_rows_and_one_class(spark, rows):
     df = table(spark, rows)
     held = many_svms.make_blocks(df.where("false"), [("linear", None)], {})
     assert [w.tolist() for w in many_svms.fit_many(held, [Entry("linear", 1.0)])] == [[0.0]]
+    none = classify.svm_fit(df.where("false"), kernel="rbf", gamma=1.0)
+    assert {(r.score, r.prediction) for r in classify.svm_score(none, df).collect()} == {(0.0, 0)}
+    maps = {0.5: KernelMap.fourier(0.5, 0, 5, 0)}
+    both = many_svms.make_blocks(df.where("false"), [("linear", None), ("rbf", 0.5)], maps, folds=2)
+    f1, (best,), _ = classify.search_cells(both, [{"kernel": "rbf", "gamma": 0.5, "C": 1.0}, {"kernel": "linear", "C": 1.0}], [0], 2, "balanced", 5)
+    assert not f1.any() and best.kernel == "rbf"
     model = classify.svm_fit(df.where("label = 1"))
     assert classify.svm_score(model, df).where("prediction = 0").count() == 0
 
