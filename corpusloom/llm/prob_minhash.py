@@ -9,10 +9,9 @@ later than what all registers have.
 Documents with the same words are one node. Bands of registers propose links. In each bucket of a band the sketches of all
 nodes are compared with that of the one that shares most buckets with others, as an original does with its copies; and,
 once the links found so far are joined to components, with those of the nodes of other components in the bucket. So every two
-nodes in a bucket are in one component in the end, or their sketches have been compared. The second step runs twice, first
-for the best partner of each node in each bucket, which joins most of a large group. This is done where the bucket's
-sketches lie, a large bucket being cut into blocks, and only pairs whose sketches agree are put out. They are verified on
-the shingles themselves.
+nodes in a bucket are in one component in the end, or their sketches have been compared. This is done where the bucket's
+sketches and texts lie, a large bucket being cut into blocks. Pairs whose sketches agree are verified on the shingles
+themselves, and only links that join something are put out.
 """
 
 from __future__ import annotations
@@ -142,20 +141,22 @@ def node_of(words: list[str], text: str | None) -> int:
 
 def _sketched(docs: DataFrame) -> DataFrame:
     """(id, digest, node, bands, sketch) of every row; without words there are no bands."""
-    schema = T.StructType([docs.schema["id"], *T._parse_datatype_string("digest long, node long, bands array<long>, sketch binary").fields])
+    schema = T.StructType([docs.schema["id"], *T._parse_datatype_string("digest long, node long, bands array<long>, marks binary, sketch binary").fields])
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            nodes, bands, bytes_ = [], [], []
+            nodes, bands, marks, bytes_ = [], [], [], []
             for group in batches(batch.column("text").to_pylist(), lambda t: len(t or ""), CHARS_AT_ONCE):
                 words = [words_of(t) for t in group]
                 nodes += [node_of(w, t) for w, t in zip(words, group, strict=True)]
                 worded = [shingles(w) for w in words if w]
                 sketch = sketches(worded) if worded else np.empty((0, SIZE), np.uint64)
-                hashed, short = iter(band_hashes(sketch).tolist()), iter((sketch & np.uint64(255)).astype(np.uint8))
-                bands += [next(hashed) if w else [] for w in words]
+                hashed, short = iter(band_hashes(sketch)), iter((sketch & np.uint64(255)).astype(np.uint8))
+                own = [next(hashed) if w else np.empty(0, np.int64) for w in words]
+                bands += [h.tolist() for h in own]
+                marks += [h.tobytes() for h in own]
                 bytes_ += [next(short).tobytes() if w else b"" for w in words]
-            columns = [batch.column("id"), batch.column("digest"), pa.array(nodes, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(bytes_, pa.binary())]
+            columns = [batch.column("id"), batch.column("digest"), pa.array(nodes, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary()), pa.array(bytes_, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return docs.mapInArrow(run, schema)
@@ -200,56 +201,89 @@ def _near_centres(members: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def _near_others(members: DataFrame, best: bool = False) -> DataFrame:
-    """(a, b), a < b: nodes of different components in a bucket whose sketches agree; with `best`, of each node in each run
-    only the pair that agrees most.
+def _linked_others(members: DataFrame, least: float) -> DataFrame:
+    """(a, b): links between nodes of different components that share a bucket, as many as it takes to join them.
 
-    `members` has band, node, component, n and sketch. A bucket of n nodes is cut into blocks, and each pair of
-    blocks is a run of its own: the rows of the first as the left side, those of the second as the right one.
+    `members` has band, node, component, n, sketch, marks (a short hash per band) and text. A bucket of n nodes is cut into blocks,
+    and each pair of blocks is a run of its own: the rows of the first as the left side, those of the second as the right
+    one. A pair is looked at in its first common band only. Where the sketches agree, most alike pairs first, the texts
+    are compared, unless links found in this run join the two already.
     """
     blocks = F.ceil(F.col("n") / BLOCK_NODES).cast("int")
     cut = members.withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("node"), blocks).cast("int")})
     # block p is left of all blocks from p on, and right of all up to p
     both = lambda q: F.struct(F.least("block", q).alias("p"), F.greatest("block", q).alias("q"), (F.col("block") <= q).alias("left"), (F.col("block") >= q).alias("right"))
     sides = cut.withColumn("side", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), both)))
-    rows = sides.select("band", "side.p", "side.q", "side.left", "side.right", "node", "component", "sketch")
+    rows = sides.select("band", "side.p", "side.q", "side.left", "side.right", "node", "component", "sketch", "marks", "text")
     dealt = rows.repartition("band", "p", "q").sortWithinPartitions("band", "p", "q")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for left, right, node, component, sketch in _runs(batches):
+        for left, right, node, component, sketch, marks, band, text in _runs(batches):
+            own = (marks == band[0]).argmax(axis=1)  # the number of this band
+            found = []
             for at in range(0, len(node), ROWS_AT_ONCE):
-                own = np.arange(at, min(at + ROWS_AT_ONCE, len(node)))
-                own = own[left[own]]
-                possible = (component[own, None] != component[None]) & right[None] & ((node[own, None] < node[None]) | ~(left & right)[None])
+                some = np.arange(at, min(at + ROWS_AT_ONCE, len(node)))
+                some = some[left[some]]
+                possible = (component[some, None] != component[None]) & right[None] & ((node[some, None] < node[None]) | ~(left & right)[None])
                 i, j = np.nonzero(possible)
-                for k in range(0, len(i), 1 << 18):
-                    x, y = own[i[k : k + (1 << 18)]], j[k : k + (1 << 18)]
+                for k in range(0, len(i), 1 << 17):
+                    x, y = some[i[k : k + (1 << 17)]], j[k : k + (1 << 17)]
                     share = _agreement(sketch[x], sketch[y])
                     alike = np.flatnonzero(share >= SKETCH_LEAST)
-                    if best and len(alike):
-                        alike = alike[np.lexsort((share[alike], x[alike]))]
-                        alike = alike[np.append(x[alike[1:]] != x[alike[:-1]], True)]
-                    x, y = node[x[alike]], node[y[alike]]
-                    yield _pairs(np.minimum(x, y), np.maximum(x, y))
+                    x, y, share = x[alike], y[alike], share[alike]
+                    first = (marks[x] == marks[y]).argmax(axis=1) == own[x]
+                    found.append((x[first], y[first], share[first]))
+            if sum(len(f[0]) for f in found):
+                yield _spanning(*(np.concatenate(c) for c in zip(*found, strict=True)), node, component, text, least)
 
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def _spanning(x: np.ndarray, y: np.ndarray, share: np.ndarray, node: np.ndarray, component: np.ndarray, text: np.ndarray, least: float) -> pa.RecordBatch:
+    """The pairs that pass and join what no pair before has joined."""
+    root: dict[int, int] = {}
+
+    def find(k: int) -> int:
+        while (up := root.setdefault(k, k)) != k:
+            root[k] = root[up] if up in root else up
+            k = root[k]
+        return k
+
+    sets: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def shingles_of(i: int) -> tuple[np.ndarray, np.ndarray]:
+        if i not in sets:
+            sets[i] = shingles(words_of(text[i]))
+        return sets[i]
+
+    kept = []
+    for k in np.argsort(-share, kind="stable").tolist():
+        i, j = int(x[k]), int(y[k])
+        a, b = find(int(component[i])), find(int(component[j]))
+        if a != b and probability_jaccard(shingles_of(i), shingles_of(j)) >= least:
+            root[a] = b
+            kept.append((int(node[i]), int(node[j])))
+    return _pairs(*np.array(kept, np.int64).reshape(-1, 2).T)
+
+
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
     """Columns of the rows that agree in band, p and q, across the batches."""
     held, last = [], None
     for batch in batches:
         keys = np.array([batch.column(c).to_numpy() for c in ("band", "p", "q")])
-        rest = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("left", "right", "node", "component")] + [_sketch_rows(batch)]
+        marks = np.frombuffer(b"".join(batch.column("marks").to_pylist()), np.int64).reshape(-1, BANDS)
+        rest = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("left", "right", "node", "component")]
+        rest += [_sketch_rows(batch), marks, keys[0], np.array(batch.column("text").to_pylist(), object)]
         starts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
         for a, b in zip([0, *starts.tolist()], [*starts.tolist(), batch.num_rows], strict=True):
-            key = tuple(keys[:, a]) if b > a else last
+            if b == a:
+                continue
+            key = tuple(keys[:, a].tolist())
             if held and key != last:
                 yield tuple(np.concatenate(c) for c in zip(*held, strict=True))
                 held = []
-            if b > a:
-                held.append([c[a:b] for c in rest])
-                last = key
+            held.append([c[a:b] for c in rest])
+            last = key
     if held:
         yield tuple(np.concatenate(c) for c in zip(*held, strict=True))
 
@@ -289,14 +323,14 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", id_col: str = "d
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(own).alias("digest"), own.alias("text"))
     spark = docs.sparkSession
     rows = save_artifact(_sketched(texts), scratch_path(spark, "sketches"))
-    first = F.first(F.struct("id", "digest", "bands", "sketch")).alias("one")
+    first = F.first(F.struct("id", "digest", "bands", "marks", "sketch")).alias("one")
     nodes = save_artifact(rows.groupBy("node").agg(F.min("id").alias("least_id"), first).select("node", "least_id", "one.*"), scratch_path(spark, "nodes"))
     banded = nodes.select("node", F.explode("bands").alias("band"))
     buckets = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     shared = settle(banded.join(buckets, "band"))
     # what others are copies of shares buckets with most of them, so it is the one to compare with
     shares = settle(shared.groupBy("node").agg(F.sum("n").alias("shares")))
-    sketch = nodes.select("node", "sketch")
+    sketch = nodes.select("node", "sketch", "marks")
     ranked = shared.join(shares, "node")
     middle = ranked.groupBy("band").agg(F.max(F.struct("shares", "node")).alias("top")).select("band", F.col("top.node").alias("centre"))
     members = settle(shared.join(middle, "band"))
@@ -305,19 +339,14 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", id_col: str = "d
     body = settle(texts.join(own, same).select("node", "text").dropDuplicates(["node"]))
 
     parts = F.ceil(F.col("n") / BLOCK_NODES).alias("parts")
-    stars = settle(_near_centres(members.select("band", "node", "centre", parts).join(sketch, "node")))
+    stars = settle(_near_centres(members.select("band", "node", "centre", parts).join(sketch.drop("marks"), "node")))
     found = settle(_verified(stars, body, least))
-    seen = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    # the best partners first: most of a large group is one component after them, and its other pairs need no look
-    for best in (True, False):
-        joined = connected_components(found)
-        placed = settle(members.select("band", "node", "n").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")))
-        mixed = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band")
-        crossing = _near_others(placed.join(mixed, "band", "left_semi").join(sketch, "node"), best)
-        pairs = settle(crossing.join(seen, ["a", "b"], "left_anti"))
-        found = settle(found.unionByName(_verified(pairs, body, least)))
-        seen = seen.unionByName(pairs)
     joined = connected_components(found)
+    placed = settle(members.select("band", "node", "n").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    mixed = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band")
+    full = sketch.join(body, "node")
+    more = settle(_linked_others(placed.join(mixed, "band", "left_semi").join(full, "node"), least))
+    joined = connected_components(found.unionByName(more))
     classes = nodes.select("node", "least_id").join(joined, "node")
     lowest = classes.groupBy("component").agg(F.min("least_id").alias("class_id"))
     linked = settle(classes.join(lowest, "component").select("node", "component", F.col("class_id").alias("linked_id")))

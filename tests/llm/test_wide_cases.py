@@ -65,15 +65,24 @@ def test_large_buckets_in_blocks(spark, monkeypatch, groups, nodes, pairs):
     assert got == want and len({got[i] for i in range(50)}) == 1 and len(set(got.values())) == 51
 
 
-def test_only_pairs_that_agree_are_put_out(spark):
-    rng = np.random.default_rng(3)
-    sketch = rng.integers(0, 256, (300, prob_minhash.SIZE)).astype(np.uint8)
-    sketch[7] = sketch[3]
-    rows = [(1, i, 300, i, bytearray(sketch[i].tobytes())) for i in range(300)]
-    members = spark.createDataFrame(rows, "band long, node long, n long, component long, sketch binary")
-    assert [tuple(r) for r in prob_minhash._near_others(members).collect()] == [(3, 7)]
-    led = members.select("band", "node", F.lit(3).cast("long").alias("centre"), F.lit(4).cast("long").alias("parts"), "sketch")
-    assert [tuple(r) for r in prob_minhash._near_centres(led).collect()] == [(3, 7)]
+def test_only_links_that_join_are_put_out(spark):
+    rng = random.Random(3)
+    base = words(rng, 120)
+    texts = [" ".join(words(rng, 120)) for _ in range(40)] + [" ".join([*base[:-1], f"x{i}"]) for i in range(30)]
+    sets = [prob_minhash.shingles(t.split()) for t in texts]
+    sketch = prob_minhash.sketches(sets)
+    marks = prob_minhash.band_hashes(sketch)
+    short = (sketch & np.uint64(255)).astype(np.uint8)
+    rows = [
+        (int(marks[i, k]), i, len(texts), i, bytearray(short[i].tobytes()), bytearray(marks[i].tobytes()), texts[i])
+        for i in range(len(texts)) for k in range(prob_minhash.BANDS)
+    ]
+    members = spark.createDataFrame(rows, "band long, node long, n long, component long, sketch binary, marks binary, text string")
+    links = [tuple(r) for r in prob_minhash._linked_others(members, 0.8).collect()]
+    assert {k for pair in links for k in pair} == set(range(40, 70)) and 29 <= len(links) < 29 * 8
+    own = members.where(F.col("band") == rows[40 * prob_minhash.BANDS][0])
+    led = own.select("band", "node", F.lit(40).cast("long").alias("centre"), F.lit(4).cast("long").alias("parts"), "sketch")
+    assert {tuple(r) for r in prob_minhash._near_centres(led).collect()} == {(40, r.node) for r in own.collect() if r.node != 40}
 
 
 def test_lookup_of_one_document_reads_its_block(spark, tmp_path):
