@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -291,3 +292,18 @@ def test_curve_cells_are_what_the_samples_are(spark):
     assert member.sum(axis=0).tolist() == [40] * 25 + [40 + 86 * k for k in (1, 2, 3) for _ in range(25)]
     dev = sampling.curve_dev_sets(sheet, 3, 25, 20)
     assert dev.count() == 40 * 28
+
+
+def test_curve_bits_hash_a_row_once_per_cell(spark):
+    """An expression inside a lambda is computed for every element of its array."""
+    sheet = spark.range(300).selectExpr("id AS paper_number", "cast(id % 3 = 0 AS int) AS label")
+    cells = sampling.curve_cells(sheet, 3, 25, 20, "t")
+    own = cells.rows.select("paper_number", cells.dev().alias("dev"), cells.drawn().alias("drawn"), cells.bits().alias("bits")).collect()
+    for r in own:
+        flags = [a or b for a, b in zip(r.dev, r.drawn, strict=True)]
+        assert [bool(r.bits[c // many_svms.WORD_BITS] >> c % many_svms.WORD_BITS & 1) for c in range(cells.cells)] == flags
+    many = spark.range(1000).selectExpr("id AS paper_number", "cast(id % 3 = 0 AS int) AS label").repartition(4).cache()
+    cells = sampling.curve_cells(many, 10, 40, 20, "t")
+    begun = time.time()
+    many.select(cells.bits()).write.format("noop").mode("overwrite").save()
+    assert time.time() - begun < 30  # a minute or more when every word of every row hashed anew
