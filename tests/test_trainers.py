@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import special
 from corpusloom.functions.kernel import KernelMap, rbf
-from corpusloom.operators import artifacts, classify, clusters, curves, evaluate, many_mixtures, many_svms, many_topics, ranking, sampling
+from corpusloom.operators import artifacts, blocks, classify, clusters, curves, evaluate, many_mixtures, many_svms, many_topics, ranking, sampling
 from corpusloom.operators.features import Vocabulary
 from corpusloom.operators.many_svms import Entry
 from corpusloom.operators.many_topics import Spec, TopicModel
@@ -307,3 +307,18 @@ def test_curve_bits_hash_a_row_once_per_cell(spark):
     begun = time.time()
     many.select(cells.bits()).write.format("noop").mode("overwrite").save()
     assert time.time() - begun < 30  # a minute or more when every word of every row hashed anew
+
+
+def test_matrix_packs_sparse_and_dense(rows):
+    for x in (rows[0], np.zeros((3, 4)), np.ones((2, 5)), np.zeros((0, 4)), np.zeros((4, 0))):
+        packed = many_svms.pack_matrix(x)
+        assert np.array_equal(many_svms.unpack_matrix(*x.shape, *packed), x.astype(np.float32).astype(np.float64))
+    assert len(b"".join(many_svms.pack_matrix(np.eye(50)))) == 8 * 50
+
+
+@pytest.mark.parametrize("most", [0, 1 << 20])
+def test_sweep_sums_the_same_with_and_without_a_shuffle(spark, monkeypatch, most):
+    monkeypatch.setattr(blocks, "DRIVER_BYTES", most)
+    held = spark.createDataFrame([(s, b, bytes([b, s])) for s in (0, 1) for b in range(9)], "slice int, block long, x binary").repartition(4)
+    found = blocks.sweep(held, 9, {0: 1.0, 1: 2.0}, lambda row, f: f * np.frombuffer(row["x"], np.uint8).astype(float), 4)
+    assert {s: v.tolist() for s, v in found.items()} == {0: [36.0, 0.0], 1: [72.0, 18.0]}
