@@ -322,3 +322,16 @@ def test_sweep_sums_the_same_with_and_without_a_shuffle(spark, monkeypatch, most
     held = spark.createDataFrame([(s, b, bytes([b, s])) for s in (0, 1) for b in range(9)], "slice int, block long, x binary").repartition(4)
     found = blocks.sweep(held, 9, {0: 1.0, 1: 2.0}, lambda row, f: f * np.frombuffer(row["x"], np.uint8).astype(float), 4)
     assert {s: v.tolist() for s, v in found.items()} == {0: [36.0, 0.0], 1: [72.0, 18.0]}
+
+
+def test_exp_digamma_is_the_exp_of_digamma():
+    x = np.logspace(-2, 6, 500)
+    assert np.allclose(special.exp_digamma(x), np.exp(special.digamma(x)), rtol=1e-12, atol=0)
+
+
+def test_infer_stops_each_document_on_its_own():
+    rng = np.random.default_rng(4)
+    x, words = rng.poisson(1.0, (40, 12)).astype(float), rng.dirichlet(np.ones(12), 3)
+    x[5] = 0
+    alone = np.concatenate([many_topics.infer(x[i : i + 1], words, 1 / 3) for i in range(len(x))])
+    assert np.allclose(many_topics.infer(x, words, 1 / 3), alone) and many_topics.infer(x[:0], words, 1 / 3).shape == (0, 3)
