@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.encoding import token_id_udf, word_piece_udf
-from corpusloom.operators.storage import settle
+from corpusloom.operators.storage import in_small_batches, settle
 from corpusloom.operators.text import salt_of, within_token_budget
 
 LOOKUP_TERMS = 500_000
@@ -17,7 +17,7 @@ def word_piece_tokens(df: DataFrame, text: str, vocab: DataFrame, out: str = "to
     """Sub-word tokens of a text. The vocabulary belongs to a model; it is sent to every executor once."""
     terms = sorted(r.term for r in vocab.select("term").distinct().collect())
     split = word_piece_udf(df.sparkSession.sparkContext.broadcast(terms))
-    return df.withColumn(out, split(F.filter(F.split(text, r"\s+"), lambda c: c != "")))
+    return in_small_batches(df).withColumn(out, split(F.filter(F.split(text, r"\s+"), lambda c: c != "")))
 
 
 def with_markers(df: DataFrame, col: str = "tokens", max_len: int = 900) -> DataFrame:

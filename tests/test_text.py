@@ -1,11 +1,14 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.functions.encoding import PieceTrie, basic_words, word_pieces
 from corpusloom.functions.stemming import stem
 from corpusloom.operators import encode, features, text
+from corpusloom.operators.storage import ROWS_A_BATCH, TEXTS_AT_ONCE
 
 
 def docs(spark, *texts):
@@ -44,6 +47,26 @@ def test_stem_arrays_keep_shape(spark):
     assert got == {1: ["cell", "cell", "divid"], 2: [], 3: None}
 
 
+@F.arrow_udf(T.IntegerType())
+def rows_at_once(tokens: pa.Array) -> pa.Array:
+    return pa.array([len(tokens)] * len(tokens), pa.int32())
+
+
+@pytest.mark.parametrize("given, most", [("10000", TEXTS_AT_ONCE), ("0", TEXTS_AT_ONCE), ("100", 100)])
+def test_a_worker_gets_few_texts_at_once(spark, given, most):
+    before = spark.conf.get(ROWS_A_BATCH)
+    spark.conf.set(ROWS_A_BATCH, given)
+    try:
+        rows = spark.range(3 * TEXTS_AT_ONCE + 7, numPartitions=1).select(F.array(F.concat(F.lit("cells"), F.col("id").cast("string"))).alias("tokens"))
+        seen = [r[0] for r in text.stem_tokens(rows).select(rows_at_once("tokens")).collect()]
+        split = encode.word_piece_tokens(rows.select(F.col("tokens")[0].alias("text")), "text", spark.createDataFrame([("cells",)], "term string"))
+        pieces = [r[0] for r in split.select(rows_at_once("tokens")).collect()]
+    finally:
+        spark.conf.set(ROWS_A_BATCH, before)
+    assert len(seen) == len(pieces) == 3 * TEXTS_AT_ONCE + 7
+    assert max(seen) == max(pieces) == most
+
+
 def test_punctuation(spark):
     assert text.remove_punctuation(docs(spark, "a--b  c"), "text").first().tokens == ["ab", "", "c"]
     assert text.remove_punctuation(docs(spark, 'It\'s [A\\B] "q"+='), "text").first().tokens == ["Its", "AB", "q+="]
