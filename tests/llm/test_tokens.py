@@ -66,6 +66,20 @@ def test_ids_equal_the_library(texts, library):
         assert e.ids == np.frombuffer(g, "<u4").tolist()
 
 
+def test_a_piece_is_looked_up_once_for_all_its_places(library):
+    asked = []
+
+    class Asked(WordIds):
+        def __getitem__(self, piece):
+            asked.append(piece)
+            return super().__getitem__(piece)
+
+    rows = ["ab é cd 😀" * 50, "", "<|endoftext|> cd", " cd é" * 70]
+    got = list(Asked().encode(rows))
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [library.encode(r, add_special_tokens=False).ids for r in rows]
+    assert sorted(asked) == sorted(set(asked)) and " cd" in asked
+
+
 def test_count_tokens_keeps_rows_and_columns(spark):
     rows = [(1, None, "x", 9), (1, None, "x", 9), (None, "the cat", None, 9), (2, "a " * 1025, "y", 9)]
     df = spark.createDataFrame(rows, "doc_id long, text string, other string, n_tokens int")
