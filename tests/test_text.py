@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions.encoding import PieceTrie, basic_words, word_pieces
+from corpusloom.functions import stemming
 from corpusloom.functions.stemming import stem
 from corpusloom.operators import encode, features, text
 from corpusloom.operators.storage import ROWS_A_BATCH, TEXTS_AT_ONCE
@@ -40,6 +41,17 @@ def test_stems(word, want):
     assert stem(word) == want
 
 
+def test_only_words_with_an_ending_of_a_rule_go_through_the_rules():
+    rnd = random.Random(5)
+    ends = [*stemming.STEP2, *stemming.STEP3, *stemming.STEP4, *stemming.PAST, "s", "ies", "ied", "sses", "y", "ay", "e", "ll", ""]
+    words = [*stemming.IRREGULAR, *stemming.SETTLED, "yyy", "Yaa", "aYa", "naïve", "été", "ſſſ", "ooo"]
+    words += ["".join(rnd.choices("aeiouybcdlnrstéY", k=rnd.randint(1, 8))) + rnd.choice(ends) for _ in range(20_000)]
+    by_rules = stemming._stem_by_rules
+    before = by_rules.cache_info().currsize
+    assert stem("ratatouo") == "ratatouo" and by_rules.cache_info().currsize == before  # left alone at once
+    assert [(w, stem(w)) for w in words] == [(w, by_rules(w) if len(w) > 2 else w) for w in words]
+
+
 def test_stem_arrays_keep_shape(spark):
     rows = [(1, ["cells", "cells", "dividing"]), (2, []), (3, None)]
     df = text.stem_tokens(spark.createDataFrame(rows, "id int, tokens array<string>"))
