@@ -255,6 +255,22 @@ def test_landmark_map(spark, rows):
         classify.kernel_maps(df, [1.0], "other")
 
 
+@pytest.mark.parametrize("block_rows", [4096, 16])
+def test_kernel_machines_share_their_passes(spark, rows, monkeypatch, block_rows):
+    monkeypatch.setattr(many_svms, "BLOCK_ROWS", block_rows)
+    df = table(spark, rows)
+    maps = classify.kernel_maps(df, [0.3, 0.01], "landmarks", 60)
+    alone = [classify.svm_fit(df, 10.0, kernel="rbf", gamma=g, n_features=60, max_iter=12, approximation="landmarks") for g in maps]
+    read, sweep = [], many_svms.sweep
+    monkeypatch.setattr(many_svms, "sweep", lambda held, blocks, sent, *rest: read.append(len(sent)) or sweep(held, blocks, sent, *rest))
+    together = classify.svm_fit_each(df, [Entry("rbf", 10.0, g) for g in maps], maps, max_iter=12)
+    for a, b in zip(alone, together, strict=True):
+        assert (b.gamma, b.C, b.map) == (a.gamma, 10.0, maps[a.gamma])
+        assert np.allclose(a.weights, b.weights, rtol=1e-4, atol=1e-6)
+    if block_rows == 16:
+        assert len(read) < 2 * 12  # one pass for both
+
+
 def test_artifacts_know_what_they_are(spark, rows, tmp_path):
     df = table(spark, rows)
     vocab = Vocabulary(["ä b", "c"], [3, 4], [1, 2], 9)
