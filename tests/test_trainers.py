@@ -271,6 +271,18 @@ def test_kernel_machines_share_their_passes(spark, rows, monkeypatch, block_rows
         assert len(read) < 2 * 12  # one pass for both
 
 
+def test_blocks_of_finished_models_are_not_sent(spark, rows, monkeypatch):
+    monkeypatch.setattr(many_svms, "BLOCK_ROWS", 16)
+    held = many_svms.make_blocks(table(spark, rows), [("linear", None), ("rbf", 0.3)], {0.3: KernelMap.fourier(0.3, 6, 4, 0)}, cells=3, folds=3)
+    read = []
+    monkeypatch.setattr(many_svms, "sweep", lambda given, blocks, sent, *rest: read.append({r.slice for r in given.select("slice").distinct().collect()}))
+    every = set(range(sum(held.slices)))
+    for sent in (every, {0}, every - {0}):
+        many_svms._pass(held, None, {s: True for s in sent}, 1)
+    held.release()
+    assert read == [every, {0}, every - {0}]
+
+
 def test_artifacts_know_what_they_are(spark, rows, tmp_path):
     df = table(spark, rows)
     vocab = Vocabulary(["ä b", "c"], [3, 4], [1, 2], 9)
