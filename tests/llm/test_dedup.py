@@ -215,6 +215,38 @@ def test_repeats_of_odd_rows(spark, most):
     assert column_suffix.remove_repeats(df.limit(0)).count() == 0
 
 
+def test_equal_contexts_go_on_once(spark):
+    columns = "gram long, key binary, place long, first long, last long, d1 long, d2 long, alone boolean"
+    rows = [(1, bytes([i]), 50, 0, 40, 7, 7, True) for i in range(5)] + [(1, b"x", 60, 10, 45, 8, 7, True)]
+    rows += [(2, bytes([i]), 50, 3, 9, 7, 7, True) for i in range(3)]  # nothing else to compare with
+    for most in (2, 1):
+        spans, left = column_suffix._classed(spark.createDataFrame(rows, columns), most)
+        twins = [(bytes(r.key), r.start, r.end) for r in spans.collect()]
+        assert sorted(twins) == sorted([(bytes([i]), 0, 440) for i in range(5)] + [(bytes([i]), 3, 409) for i in range(3)])
+        assert sorted((r.gram, r.alone, r.hot) for r in left.collect()) == [(1, False, most < 2), (1, True, most < 2)]
+
+
+def test_parts_of_contexts_hold_equal_windows_together(spark):
+    rng = random.Random(4)
+    core = rng.randbytes(700)
+    contexts = []  # windows around the gram at byte 350 of the core, with other bytes on either side
+    for i in range(40):
+        left, right = rng.randint(100, 349), rng.randint(500, 699)
+        data = rng.randbytes(20) + core[left:right] + rng.randbytes(20)
+        contexts.append((1, bytes([i]), 20 + 350 - left, 0, True, data[: max(400, len(data))] + rng.randbytes(max(0, 400 - len(data)))))
+    df, width = spark.createDataFrame(contexts, column_suffix.CONTEXTS), 256
+    windows = collections.Counter(c[5][s : s + 400] for c in contexts for s in range(len(c[5]) - 399))
+    while width:
+        df = column_suffix._parts(df, width)
+        parts = df.collect()
+        assert len(parts) <= 2 * len(contexts) or width < 256
+        held = [(p.gram, bytes(p.bytes)[s : s + 400]) for p in parts for s in range(p.last - p.first + 1)]
+        assert collections.Counter(w for _, w in held) == windows
+        assert len(set(held)) == len(windows)  # equal windows, equal names
+        df, width = df.select(*column_suffix.CONTEXT), width // 2
+    assert len({g for g, _ in held}) == len(windows)
+
+
 def test_op6(spark, sf_dir, docs):
     got = spark_entry.queries()["op6_column_suffix_dedup"](spark, sf_dir).toPandas().set_index("doc_id").loc[docs["doc_id"]]
     want = plain.without_repeats(docs["text"])
