@@ -237,6 +237,17 @@ def test_pairs_of_words(spark):
     assert "new york" not in stop and "york" not in stop and "new" in stop
 
 
+def test_pairs_are_joined_with_counted_words_of_known_size(spark, monkeypatch):
+    seen, counts = [], text.pair_counts
+    monkeypatch.setattr(text, "pair_counts", lambda df, col, stop, singles, *rest: seen.append(singles) or counts(df, col, stop, singles, *rest))
+    df = spark.createDataFrame([(["new", "york", "the", "new", "york", None, "york"],), (["one"],), ([],), (None,)], "tokens array<string>")
+    terms = {r.term: r.n for r in text.word_frequencies(df, words=["the"], pairs=True).collect()}
+    assert terms == {"new": 2, "york": 3, "one": 1}
+    assert seen[0].inputFiles()  # a file, not a checkpoint of unknown size
+    found = counts(df, "tokens", ["the"], seen[0], [], least=-1)
+    assert [tuple(r) for r in found.collect()] == [("new", "york", 2)]
+
+
 def test_token_head_and_cluster_join(spark):
     df = spark.createDataFrame([(1, ["a", "b", "c"])], "paper_number int, tokens array<string>")
     clusters = spark.createDataFrame([(1, 4)], "paper_number int, cluster int")
