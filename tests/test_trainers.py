@@ -15,6 +15,7 @@ from corpusloom.operators import artifacts, blocks, classify, clusters, curves,
 from corpusloom.operators.features import Vocabulary
 from corpusloom.operators.many_svms import Entry
 from corpusloom.operators.many_topics import Spec, TopicModel
+from corpusloom.operators.storage import settle_for_fits
 
 
 def sparse(x):
@@ -363,3 +364,36 @@ def test_infer_stops_each_document_on_its_own():
     x[5] = 0
     alone = np.concatenate([many_topics.infer(x[i : i + 1], words, 1 / 3) for i in range(len(x))])
     assert np.allclose(many_topics.infer(x, words, 1 / 3), alone) and many_topics.infer(x[:0], words, 1 / 3).shape == (0, 3)
+
+
+@pytest.mark.parametrize("how", ["fourier", "landmarks"])
+def test_maps_of_one_kind_share_their_base(spark, rows, monkeypatch, how):
+    """With many blocks a row is held once for all gammas; the fits are those of the mapped rows."""
+    monkeypatch.setattr(many_svms, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(many_svms, "TOLERANCE", 1e-9)
+    x, y, folds, _ = rows
+    df = table(spark, rows).drop("bits").repartition(3).cache()
+    maps = classify.kernel_maps(df, [0.3, 0.05, 0.01], how, 30)
+    names = [("linear", None), *(("rbf", g) for g in maps)]
+    held = many_svms.make_blocks(df, names, maps, folds=3)
+    stored = held.rows.select("slice", "block", "n").collect()
+    assert held.blocks >= 23 and sorted(sum(r.n for r in stored if r.slice == g) for g in {r.slice for r in stored}) == [90, 90]
+    entries = [Entry(kernel, 10.0, gamma, 0, fold) for kernel, gamma in names for fold in (-1, 1)]
+    weights = many_svms.fit_many(held, entries, max_iter=200)
+    counts = many_svms.count_many(held, entries, weights)
+    held.release()
+    monkeypatch.setattr(many_svms, "BLOCK_ROWS", 4096)
+    whole = many_svms.make_blocks(df, names, maps, folds=3)
+    for e, w, c, other in zip(entries, weights, counts, many_svms.fit_many(whole, entries, max_iter=400), strict=True):
+        mapped = x if e.kernel == "linear" else maps[e.gamma].apply(x)
+        seen = folds != e.fold
+        assert loss(mapped[seen], y[seen], w, 10.0) < loss(mapped[seen], y[seen], other, 10.0) + 1e-5
+        hit = mapped @ w[:-1] + w[-1] > 0
+        assert c[many_svms.SEEN].tolist() == [int((seen & a & b).sum()) for a, b in ((y == 1, hit), (y == 0, hit), (y == 1, ~hit), (y == 0, ~hit))]
+    whole.release()
+
+
+def test_fits_keep_no_second_copy_on_disk(spark):
+    held = settle_for_fits(spark.range(5).toDF("i"))
+    assert held.storageLevel.useMemory and not held.storageLevel.useDisk and held.count() == 5
+    held.unpersist()
