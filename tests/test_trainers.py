@@ -397,3 +397,19 @@ def test_fits_keep_no_second_copy_on_disk(spark):
     held = settle_for_fits(spark.range(5).toDF("i"))
     assert held.storageLevel.useMemory and not held.storageLevel.useDisk and held.count() == 5
     held.unpersist()
+
+
+def test_models_with_the_same_start_are_inferred_together(bags, monkeypatch):
+    """In the first iteration and in the scores of the start a document is inferred once for every size, not once per decay and fold."""
+    specs = [Spec(k, d, f) for k in (2, 3) for d in (0.5, 0.9) for f in (0, 1)]
+    asked, sweep = [], many_topics.sweep
+    monkeypatch.setattr(many_topics, "sweep", lambda held, blocks, sent, work: asked.append((work.__name__, sum(len(m) for m in (g[2] if work.__name__ == "_gather" else g for g in sent.values())))) or sweep(held, blocks, sent, work))
+    held = many_topics.document_blocks(bags)
+    models = many_topics.fit_topics(held, specs, 2)
+    start = many_topics.topic_scores(held, many_topics.first_models(specs, held.n_words, 0))
+    assert [n for name, n in asked if name in ("_gather", "_measure")] == [2, 8, 2]
+    for spec, model, score in zip(specs, models, start, strict=True):
+        alone = many_topics.fit_topics(held, [spec], 2)
+        assert np.allclose(model.counts, alone[0].counts, rtol=1e-9)
+        assert np.allclose(score, many_topics.topic_scores(held, many_topics.first_models([spec], held.n_words, 0))[0], rtol=1e-9)
+    held.release()
