@@ -242,3 +242,31 @@ def test_stages_keep_the_columns_of_documents(spark, sf_dir, docs):
         assert stage(spark, table.limit(0), sf_dir).count() == 0
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_dedup", "decontamination", "packing"]
     assert prob_minhash.SIMILARITY == 0.8 and prob_minhash.SHINGLE_WORDS == 5
+
+
+def test_only_scored_places_reach_the_last_layer():
+    """A long text has windows that score their last places only: the same numbers as from all places, and the slope of the loss."""
+    rng = np.random.default_rng(8)
+    weights = {k: v.astype(np.float64) for k, v in attention.fresh_weights(np.full(attention.CLASSES, 1 / attention.CLASSES)).items()}
+    lengths = np.array([5, 0, 200, attention.LENGTH + 1])
+    read, wanted, scored, _ = attention.windows(rng.integers(0, 60, lengths.sum()), lengths)
+    assert np.allclose(attention.log_probabilities(weights, read, wanted, scored), attention.log_probabilities(weights, read, wanted) * scored, atol=1e-12)
+    looked, forward = [], attention._forward
+    attention._forward = lambda w, r, begin: looked.append((len(r), begin)) or forward(w, r, begin)
+    try:
+        loss, slope = attention.gradients(weights, read, wanted, scored)
+    finally:
+        attention._forward = forward
+    assert looked == [(3, 0), (len(read) - 3, attention.LENGTH - attention.FRESH)]
+    every = attention.log_probabilities(weights, read, wanted)[scored]
+    assert loss == pytest.approx(-every.mean() * np.log(10))
+    for name in ("embed", "place", "query", "key", "value", "mixed", "own", "out"):
+        step, at = 1e-5, tuple(rng.integers(0, n) for n in weights[name].shape)
+        if name == "embed":
+            at = (int(wanted[0, 0]), 3)
+        around = []
+        for sign in (1, -1):
+            moved = {k: v.copy() for k, v in weights.items()}
+            moved[name][at] += sign * step
+            around.append(attention.gradients(moved, read, wanted, scored)[0])
+        assert slope[name][at] == pytest.approx((around[0] - around[1]) / (2 * step), rel=1e-3, abs=1e-7)
