@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import special
 from corpusloom.functions.kernel import KernelMap, rbf
-from corpusloom.operators import artifacts, blocks, classify, clusters, curves, evaluate, many_mixtures, many_svms, many_topics, ranking, sampling
+from corpusloom.operators import artifacts, blocks, classify, clusters, curves, evaluate, many_mixtures, many_svms, many_topics, ranking, sampling, topics
 from corpusloom.operators.features import Vocabulary
 from corpusloom.operators.many_svms import Entry
 from corpusloom.operators.many_topics import Spec, TopicModel
@@ -413,3 +413,11 @@ def test_models_with_the_same_start_are_inferred_together(bags, monkeypatch):
         assert np.allclose(model.counts, alone[0].counts, rtol=1e-9)
         assert np.allclose(score, many_topics.topic_scores(held, many_topics.first_models([spec], held.n_words, 0))[0], rtol=1e-9)
     held.release()
+
+
+def test_sweep_tells_the_documents_from_the_topics(bags, tmp_path):
+    """Of few documents the topics' part of the bound outweighs the rest. Without it fitted topics beat equal words, and topics at their start do not."""
+    few = bags.where("paper_number < 12")
+    start, fitted = (topics.lda_sweep(few, [6, 12], str(tmp_path / str(n)), max_iter=n).collect() for n in (0, 40))
+    assert all(1 < r.given_topics < 12 and r.given_topics < r.perplexity for r in fitted) and fitted[1].perplexity > 12
+    assert all(r.given_topics > 12 for r in start)
